@@ -1,11 +1,11 @@
-"""Queries over whole texts: benchmark decontamination (2)."""
+"""Queries over whole texts: benchmark decontamination (2) and licence scans (6)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate
+from tallyframe.llm import decontaminate, licences
 from tallyframe.llm.shared import table
 
 
@@ -22,6 +22,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("places", lambda p: p["word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))).alias("base_labels"),
+        F.concat_ws(",", "labels").alias("labels"),
+        "score",
+    )
+
+
 _SQL_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _OP2 = f"""
@@ -48,5 +63,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-QUERIES = {"op2_decontaminate": op2_decontaminate}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op6_licence_scan": op6_licence_scan}
 ORACLE = {"op2_decontaminate": _OP2}
