@@ -36,7 +36,15 @@ from tallyframe.llm.arrowmap import with_text_columns
 END = "</w>"
 #: White space as the tokenizer's pattern engine has it: U+001C to U+001F are not.
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+#: Code points that this regex module counts as letters and the tokenizer's pattern engine, at Unicode 16, doesn't.
+_LATER = "558-558 58b-58c 88f-88f c5c-c5c cdc-cdc 208f-208f 209d-209f a7ce-a7cf a7d2-a7d2 a7d4-a7d4 a7dd-a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10eee 11b0a-11b0a 11db0-11df1 16ea0-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda 18d09-191d2 1b123-1b128 1b168-1b168 1d6a6-1d6a6 1df1f-1df24 1df2b-1dfff 1e6c0-1e6ff 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-3fc3f"
+_NOT_LETTERS = "".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in (x.split("-") for x in _LATER.split()))
+_LETTER = rf"[\p{{L}}--[{_NOT_LETTERS}]]"
+_SPLIT_ASCII = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|\p{{N}}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_NOT_LETTERS}]]+", regex.V1)
+#: Capitals of Unicode 16 and 17 whose small letters Python's own tables lack.
+_LOWER_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
+_CAPITAL_LATER = regex.compile("[" + "".join(map(chr, _LOWER_LATER)) + "]")
 #: Words whose encoding is kept, and pairs whose fit is kept, for one Python worker.
 KEPT_WORDS, KEPT_PAIRS = 300_000, 400_000
 
@@ -209,9 +217,13 @@ class Encoder:
         yield from self._plain(text[at:] if at else text)
 
     def _plain(self, text: str) -> list[bytes]:
+        known, kept = self.words.get, self._kept
+        if text.isascii():
+            return [known(w) or kept(w) for w in _SPLIT_ASCII.findall(text.lower())]
         # the library lowers character by character: a capital sigma never takes its final form
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        known, kept = self.words.get, self._kept
+        if _CAPITAL_LATER.search(text):
+            text = text.translate(_LOWER_LATER)
         return [known(w) or kept(w) for w in _SPLIT.findall(text)]
 
     def encode(self, text: str) -> np.ndarray:

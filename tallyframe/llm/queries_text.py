@@ -1,11 +1,11 @@
-"""Queries over whole texts: benchmark decontamination (2) and licence scans (6)."""
+"""Queries over whole texts: benchmark decontamination (2), BPE (4) and licence scans (6)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, licences
+from tallyframe.llm import bpe, decontaminate, licences
 from tallyframe.llm.shared import table
 
 
@@ -22,6 +22,24 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.decode_ids(bpe.encode_texts(docs, path).select("doc_id", "ids"), path)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.transform("places", lambda p: p["word"])
@@ -63,5 +81,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op6_licence_scan": op6_licence_scan}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_bpe": op4_bpe, "op6_licence_scan": op6_licence_scan}
 ORACLE = {"op2_decontaminate": _OP2}
