@@ -1,11 +1,11 @@
-"""Queries over whole texts: benchmark decontamination (2), BPE (4) and licence scans (6)."""
+"""Queries over whole texts: benchmark decontamination (2), BPE (4), licence scans (6) and near duplicates (8)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, decontaminate, licences
+from tallyframe.llm import bpe, dartminhash, decontaminate, licences
 from tallyframe.llm.shared import table
 
 
@@ -55,6 +55,10 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 _SQL_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _OP2 = f"""
@@ -81,5 +85,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_bpe": op4_bpe, "op6_licence_scan": op6_licence_scan}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_bpe": op4_bpe, "op6_licence_scan": op6_licence_scan, "op8_dart_minhash": op8_dart_minhash}
 ORACLE = {"op2_decontaminate": _OP2}
