@@ -22,6 +22,7 @@ from __future__ import annotations
 import codecs
 import json
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -63,7 +64,7 @@ def byte_alphabet() -> list[str]:
 
 
 ALPHABET = byte_alphabet()
-_TO_ALPHABET = {b: ALPHABET[b] for b in range(256)}
+_TO_ALPHABET = {b: c for b, c in enumerate(ALPHABET) if ord(c) != b}
 
 
 class Merges:
@@ -85,12 +86,19 @@ class Merges:
     def merged(self, symbols: list[str]) -> list[str]:
         """What the merges make of the symbols: the best-ranked pair first, the leftmost of equals."""
         symbols = list(symbols)
-        rank, none = self.rank, len(self.rank)
-        while len(symbols) > 1:
-            best, at = min((rank.get(p, none), i) for i, p in enumerate(zip(symbols, symbols[1:])))
+        get, none = self.rank.get, len(self.rank)
+        ranks = [get(p, none) for p in zip(symbols, symbols[1:])]
+        while ranks:
+            best = min(ranks)
             if best == none:
                 break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            at = ranks.index(best)
+            symbols[at] += symbols.pop(at + 1)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((symbols[at - 1], symbols[at]), none)
+            if at < len(ranks):
+                ranks[at] = get((symbols[at], symbols[at + 1]), none)
         return symbols
 
     @staticmethod
@@ -195,12 +203,20 @@ class Encoder:
         self.marks = regex.compile("|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True)))) if merges.special else None
 
     def word(self, word: str) -> Iterator[int]:
-        encoder, raw = WordEncoder(self.m), word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_TO_ALPHABET)
+        """A word that ends within the lookahead is merged where it stands in the window; a longer one is streamed."""
+        raw = word if word.isascii() else word.encode("utf-8", "surrogatepass").decode("latin-1")
+        raw = raw.translate(_TO_ALPHABET)
+        if len(raw) <= self.m.lookahead:
+            return map(self.m.vocab.__getitem__, self.m.merged([*raw[:-1], raw[-1] + END]))
+        return self._streamed(raw)
+
+    def _streamed(self, raw: str) -> Iterator[int]:
+        encoder = WordEncoder(self.m)
         yield from encoder.feed(raw[:-1])
         yield from encoder.finish(raw[-1])
 
     def _kept(self, word: str) -> bytes:
-        made = np.fromiter(self.word(word), np.int32).tobytes()
+        made = array("i", self.word(word)).tobytes()
         if len(word) <= 64:
             if len(self.words) >= KEPT_WORDS:
                 self.words.clear()
