@@ -1,11 +1,11 @@
-"""Queries over whole texts: benchmark decontamination (2), BPE (4), licence scans (6) and near duplicates (8)."""
+"""Queries over whole texts: benchmark decontamination (2), suffix dedup (3), BPE (4), licence scans (6) and near duplicates (8)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bpe, dartminhash, decontaminate, licences
+from tallyframe.llm import bpe, dartminhash, decontaminate, licences, suffixdedup
 from tallyframe.llm.shared import table
 
 
@@ -22,6 +22,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.remaining(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -85,5 +91,5 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op4_bpe": op4_bpe, "op6_licence_scan": op6_licence_scan, "op8_dart_minhash": op8_dart_minhash}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op3_suffix_dedup": op3_suffix_dedup, "op4_bpe": op4_bpe, "op6_licence_scan": op6_licence_scan, "op8_dart_minhash": op8_dart_minhash}
 ORACLE = {"op2_decontaminate": _OP2}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -27,9 +28,16 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tallyframe-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    released(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps whose result is written: it acts when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
     """Bounds the bytes of an Arrow batch that goes to Python, where the session leaves them unbounded."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
