@@ -62,10 +62,10 @@ def _throw(doc, h, weight, limit, k, best_rank, best_dart):
         if not len(own):
             return
         rank = np.zeros(len(own))
-        seed = mix(h[own] + U64(top + 1) * U64(0xA0761D6478BD642F))
+        seed = mix(h[own] + U64((top + 1) * 0xA0761D6478BD642F & (1 << 64) - 1))
         j = 0
         while len(own):
-            dart = mix(seed + U64(2 * j + 1) * U64(0xE7037ED1A0B428DB))
+            dart = mix(seed + U64((2 * j + 1) * 0xE7037ED1A0B428DB & (1 << 64) - 1))
             rank = rank - np.log(((dart >> U64(11)).astype(np.float64) + 1.0) / 2.0**53) / wide
             alive = rank < limit[doc[own]]
             own, rank, seed, dart = own[alive], rank[alive], seed[alive], dart[alive]
@@ -181,7 +181,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = written(rows_of.join(buckets, "key").select("key", "members", "id", "n", "b"), "buckets")
     pairs = written(placed.where("id <> b").select(F.col("id").alias("a"), "b").distinct(), "pairs")
     members = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(shingle_sets(own.join(members, "id", "left_semi"), "text", shingle).select("id", "shingles").groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
+    # merge: how many texts have a candidate grows with the input, so they are not broadcast at any size
+    sets = written(shingle_sets(own.join(members.hint("merge"), "id", "left_semi"), "text", shingle).select("id", "shingles").groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
     links = written(_verified(pairs, sets, threshold), "links")
     classes = components(links)
 
