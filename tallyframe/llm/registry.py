@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import queries_native, queries_text
+from tallyframe.llm import queries_native, queries_scores, queries_text
 
-_MODULES = [queries_text, queries_native]
+_MODULES = [queries_text, queries_native, queries_scores]
 
 
 def queries():
