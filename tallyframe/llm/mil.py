@@ -61,13 +61,13 @@ def passages(texts: list[bytes], size: int = PASSAGE) -> tuple[np.ndarray, np.nd
     mean = np.bincount(of, long, n) / own
     spread = np.sqrt(np.maximum(np.bincount(of, long**2, n) / own - mean**2, 0))
     keyed = mix(words.hash + of.astype(U64) * U64(0x9E3779B97F4A7C15))
-    order = np.argsort(keyed)
+    order = np.argsort(keyed, kind="stable")
     again = np.zeros(len(keyed), bool)
     again[order[1:]] = keyed[order[1:]] == keyed[order[:-1]]
     same = np.zeros(len(keyed), bool)
     same[1:] = (words.hash[1:] == words.hash[:-1]) & (of[1:] == of[:-1])
     whole = mix(words.hash + words.doc.astype(U64) * U64(0xD1342543DE82EF95))
-    order = np.argsort(whole)
+    order = np.argsort(whole, kind="stable")  # a word is new where it first stands
     twice = np.zeros(len(whole), bool)
     twice[order[1:]] = whole[order[1:]] == whole[order[:-1]]
     capital = (words.buffer[words.start] >= 65) & (words.buffer[words.start] <= 90)
