@@ -59,8 +59,9 @@ def signatures(text: F.Column, chain: int = 2) -> F.Column:
     """The fingerprint of a text column: array<long>, ascending."""
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     plain = F.ltrim(F.regexp_replace(plain, " {2,}", " "))
-    marked = F.regexp_replace(F.concat(F.lit("^ "), plain), rf"(?<= )({_STOP} )+", "|$1")
-    spots = F.split(marked, r"\|")
+    # each common word is marked by itself: a repeated group would recurse over a long run of them
+    marked = F.regexp_replace(F.concat(F.lit("^ "), plain), rf"(?<= )({_STOP} )", "|$1")
+    spots = F.filter(F.split(marked, r"\|"), lambda s: F.startswith(s, F.lit("^")) | (F.locate(" ", s) < F.length(s)))
     after = lambda s: F.substr(s, F.locate(" ", s) + 1)
 
     def signature(spots, spot, i):

@@ -50,7 +50,7 @@ def test_query(spark, sf_dir):
 
 
 def test_cases(spark, tmp_path):
-    rows = [(5, None), (1, ""), (9, "the"), (7, "The of cat"), (-3, "a dog!! and the cat's of 𝒳éü"), (8, "cat | the ^ dog of it cat"), (2, "word " * 9000)]
+    rows = [(5, None), (1, ""), (9, "the"), (7, "The of cat"), (-3, "a dog!! and the cat's of 𝒳éü"), (8, "cat | the ^ dog of it cat"), (2, "word " * 9000), (3, "the of " * 20000 + "cat"), (4, "x" * 50000)]
     spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS k", "2 AS signs").write.parquet(str(tmp_path / "documents.parquet"))
     check(rows, op10_spotsigs(spark, str(tmp_path)).collect())
 
