@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 
+from tallyframe.plans import payables
+
+
 def _modules():
-    return []
+    return [payables]
 
 
 def queries():
