@@ -39,7 +39,7 @@ def clean_identifier(text: Column) -> Column:
     words = F.transform(F.filter(F.split(F.trim(text), r"\s+"), lambda w: w != ""), lambda w: F.btrim(w, F.lit(".,;:#")))
     first, second = F.coalesce(F.get(words, 0), F.lit("")), F.coalesce(F.get(words, 1), F.lit(""))
     prefixed = first.rlike("^[A-Za-z]{1,4}$")
-    return F.when(first.rlike("[0-9]"), F.substring(first, 1, 40)).when(second.rlike("[0-9]"), F.substring(F.when(prefixed, F.concat(first, F.lit("-"), second)).otherwise(second), 1, 40)).otherwise(F.lit(""))
+    return F.when(first.rlike("[0-9]"), F.substring(first, 1, 40)).when(second.rlike("[0-9]"), F.substring(F.when(prefixed, F.concat(first, F.lit(" "), second)).otherwise(second), 1, 40)).otherwise(F.lit(""))
 
 
 def vat_ids(text: Column) -> Column:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 
-from tallyframe.plans import payables
+from tallyframe.plans import masterdata, pages, payables, scalars
 
 
 def _modules():
-    return [payables]
+    return [payables, scalars, masterdata, pages]
 
 
 def queries():
