@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -41,12 +42,13 @@ _SPACE = r"\t-\r \x85\xa0  -     　"
 _LATER = "558-558 58b-58c 88f-88f c5c-c5c cdc-cdc 208f-208f 209d-209f a7ce-a7cf a7d2-a7d2 a7d4-a7d4 a7dd-a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10eee 11b0a-11b0a 11db0-11df1 16ea0-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda 18d09-191d2 1b123-1b128 1b168-1b168 1d6a6-1d6a6 1df1f-1df24 1df2b-1dfff 1e6c0-1e6ff 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-3fc3f"
 _NOT_LETTERS = "".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in (x.split("-") for x in _LATER.split()))
 _LETTER = rf"[\p{{L}}--[{_NOT_LETTERS}]]"
-_SPLIT_ASCII = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
-_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|\p{{N}}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_NOT_LETTERS}]]+", regex.V1)
+#: Words are tried first, those of plain Latin letters by a class that the engine tests quickly; an apostrophe starts no word.
+_SPLIT_ASCII = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9]+")
+_SPLIT = regex.compile(rf"[a-zß-öø-ÿ]+(?!\p{{L}})|{_LETTER}+|'(?:s|t|re|ve|m|ll|d)|\p{{N}}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_NOT_LETTERS}]]+", regex.V1)
 #: Capitals of Unicode 16 and 17 whose small letters Python's own tables lack.
 _LOWER_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 _CAPITAL_LATER = regex.compile("[" + "".join(map(chr, _LOWER_LATER)) + "]")
-#: Words whose encoding is kept, and pairs whose fit is kept, for one Python worker.
+#: Words whose encoding is kept in each of two generations, and pairs whose fit is kept, for one Python worker.
 KEPT_WORDS, KEPT_PAIRS = 300_000, 400_000
 
 
@@ -199,7 +201,9 @@ class WordEncoder:
 class Encoder:
     def __init__(self, merges: Merges):
         self.m = merges
+        #: Two generations of known words: when the young one is full it becomes the old one, so words in use stay.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = regex.compile("|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True)))) if merges.special else None
 
     def word(self, word: str) -> Iterator[int]:
@@ -216,10 +220,10 @@ class Encoder:
         yield from encoder.finish(raw[-1])
 
     def _kept(self, word: str) -> bytes:
-        made = array("i", self.word(word)).tobytes()
+        made = self.words.get(word) or self.older.get(word) or array("i", self.word(word)).tobytes()
         if len(word) <= 64:
             if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
+                self.older, self.words = self.words, {}
             self.words[word] = made
         return made
 
