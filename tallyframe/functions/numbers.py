@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,26 +21,34 @@ def looks_like_amount(text: Column) -> Column:
     return F.coalesce((F.length(trimmed) > 0) & trimmed.rlike(AMOUNT_TOKEN), F.lit(False))
 
 
-def parse_amount(text: Column) -> Column:
-    """A printed amount as decimal(28,6), whatever its thousands and decimal marks; null without digits."""
-    raw = F.trim(text)
-    bracketed = F.startswith(raw, F.lit("(")) & F.endswith(raw, F.lit(")")) & (F.length(raw) > 1)
-    raw = F.when(bracketed, F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    after = F.endswith(raw, F.lit("-"))
-    raw = F.when(after, F.substr(raw, F.lit(1), F.length(raw) - 1)).otherwise(raw)
-    before = F.startswith(raw, F.lit("-"))
-    body = F.regexp_replace(raw, r"[^0-9.,]", "")
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value bound once: an expression that f names often would otherwise be copied as often."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _amount(body: Column) -> Column:
+    """The number of digits and separators: the last separator is decimal, except one kind before three digits and a head that isn't 0."""
     tail = F.regexp_extract(body, r"[.,]([0-9]*)$", 1)
     mark = F.regexp_extract(body, r"([.,])[0-9]*$", 1)
     head = F.regexp_extract(body, r"^([0-9]*)", 1)
-    whole = F.regexp_replace(body, "[.,]", "")
     one_kind = ~(F.contains(body, F.lit(".")) & F.contains(body, F.lit(",")))
     grouped = (F.length(tail) == 3) & one_kind & ~head.isin("0", "")
     broken = F.concat(F.regexp_replace(F.regexp_extract(body, r"^(.*)[.,][0-9]*$", 1), "[.,]", ""), F.lit("."), tail)
-    digits = F.when((mark == "") | grouped, whole).otherwise(broken)
-    value = F.when(body.rlike("[0-9]"), F.expr("0")).isNotNull()
-    number = F.when(value, digits.try_cast("decimal(28,6)"))
-    return F.when(bracketed | after | before, -number).otherwise(number).cast("decimal(28,6)")
+    digits = F.when((mark == "") | grouped, F.regexp_replace(body, "[.,]", "")).otherwise(broken)
+    return F.when(body.rlike("[0-9]"), digits.try_cast("decimal(28,6)"))
+
+
+def parse_amount(text: Column) -> Column:
+    """A printed amount as decimal(28,6), whatever its thousands and decimal marks; null without digits."""
+    bracketed = r"^\(.*\)$"
+
+    def made(raw: Column) -> Column:
+        inner = F.when(raw.rlike(bracketed), F.regexp_replace(raw, r"^\((.*)\)$", "$1")).otherwise(raw)
+        minus = raw.rlike(bracketed) | inner.rlike("-$|^-")
+        number = let(F.regexp_replace(raw, r"[^0-9.,]", ""), _amount)
+        return F.when(minus, -number).otherwise(number).cast("decimal(28,6)")
+
+    return let(F.trim(text), made)
 
 
 def plain_number(text: Column) -> Column:

@@ -73,7 +73,7 @@ def item_type(description: Column) -> Column:
 def tax_kind(text: Column) -> Column:
     folded = fold(text)
     has = lambda *words: F.array_contains(F.array(*[F.contains(folded, F.lit(w)) for w in words]), True)
-    return F.when(has("iva"), "IVA").when(has("gst"), "GST").when(has("sst"), "SST").when(has("withholding", "wht", "retention"), "WITHHOLDING").when(has("levy", "nhil", "getfund"), "LEVY").otherwise("VAT")
+    return F.when(has("iva"), "IVA").when(has("gst"), "GST").when(has("sst"), "SST").when(has("withholding", "wht", "retention"), "WHT").when(has("levy", "nhil", "getfund"), "LEVY").otherwise("VAT")
 
 
 def prices_include_tax(text: Column) -> Column:

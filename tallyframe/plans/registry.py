@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 
-from tallyframe.plans import masterdata, pages, payables, scalars
+from tallyframe.plans import documents, masterdata, pages, payables, scalars
 
 
 def _modules():
-    return [payables, scalars, masterdata, pages]
+    return [payables, scalars, masterdata, pages, documents]
 
 
 def queries():

@@ -86,7 +86,7 @@ def classify_item_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", text.item_type(shown).alias("item_type"))
 
 
-_TREATMENT_CASES = [("Preise inkl. prices incl. VAT", True, "VAT"), ("plus VAT and GST", False, "GST"), ("IVA", None, "IVA"), ("withholding", None, "WITHHOLDING"), ("NHIL levy", None, "LEVY"), ("SST", None, "SST")]
+_TREATMENT_CASES = [("Preise inkl. prices incl. VAT", True, "VAT"), ("plus VAT and GST", False, "GST"), ("IVA", None, "IVA"), ("withholding", None, "WHT"), ("NHIL levy", None, "LEVY"), ("SST", None, "SST")]
 
 
 def tax_treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
