@@ -108,7 +108,7 @@ _RATE8 = "CAST(CAST(CAST(CAST(l_discount * 100 AS VARCHAR) AS DECIMAL(38,2)) AS
 ORACLE = {
     "parse_amount_locales": """SELECT k, CASE k % 6 WHEN 0 THEN replace(g, ',', '.') || ',' || f WHEN 1 THEN g || '.' || f WHEN 2 THEN replace(g, ',', ' ') || ',' || f
   WHEN 3 THEN '(' || replace(g, ',', '''') || '.' || f || ')' WHEN 4 THEN w || ',' || f || '-' ELSE 'EUR ' || replace(g, ',', '') || '.' || f END AS printed,
-  CAST(CASE WHEN k % 6 IN (3, 4) THEN -c ELSE c END AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(9,6)) AS amount
+  CAST(CAST(CASE WHEN k % 6 IN (3, 4) THEN -c ELSE c END AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(9,6)) AS DECIMAL(28,6)) AS amount
 FROM (SELECT k, c, format('{:,}', c // 100) AS g, CAST(c // 100 AS VARCHAR) AS w, lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS f FROM (SELECT o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders))""",
     "format_money_rate_qty": f"""SELECT l_orderkey, CAST(m AS VARCHAR) AS money, {_TEN.format('CAST(r AS VARCHAR)')} AS rate, {_TEN.format('CAST(q AS VARCHAR)')} AS quantity,
   CAST(round_even(CAST(r AS DOUBLE), 2) AS DECIMAL(9,2)) AS key
