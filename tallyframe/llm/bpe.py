@@ -49,7 +49,7 @@ _SPLIT = regex.compile(rf"[a-zß-öø-ÿ]+(?!\p{{L}})|{_LETTER}+|'(?:s|t|re|ve|m
 _LOWER_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 _CAPITAL_LATER = regex.compile("[" + "".join(map(chr, _LOWER_LATER)) + "]")
 #: Words whose encoding is kept in each of two generations, and pairs whose fit is kept, for one Python worker.
-KEPT_WORDS, KEPT_PAIRS = 300_000, 400_000
+KEPT_WORDS, KEPT_PAIRS = 150_000, 200_000
 
 
 def byte_alphabet() -> list[str]:
@@ -272,27 +272,21 @@ class TextDecoder:
     """The text that ids stand for: bytes become characters once complete, an end of word becomes a space."""
 
     def __init__(self, merges: Merges):
-        self.tokens, self.special = merges.tokens, set(merges.special.values())
-        self.bytes = {c: b for b, c in enumerate(ALPHABET)}
+        alphabet, special = {c: b for b, c in enumerate(ALPHABET)}, set(merges.special.values())
+        self.parts: list[bytes] = []
+        for i, token in enumerate(merges.tokens):
+            ends = token.endswith(END) and len(token) > len(END)
+            body = token[: -len(END)] if ends else token
+            self.parts.append(token.encode() if i in special else bytes(alphabet[c] for c in body) + b" " * ends)
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: list[int]) -> str:
-        out = []
-        for i in ids:
-            token = self.tokens[i]
-            if i in self.special:
-                out += [self.machine.decode(b"", True), token]
-                self.machine.reset()
-                continue
-            ends = token.endswith(END) and len(token) > len(END)
-            out.append(self.machine.decode(bytes(self.bytes[c] for c in (token[: -len(END)] if ends else token))))
-            if ends:
-                out += [self.machine.decode(b"", True), " "]
-                self.machine.reset()
-        return "".join(out)
+        return self.machine.decode(b"".join(map(self.parts.__getitem__, ids)))
 
     def finish(self) -> str:
-        return self.machine.decode(b"", True)
+        out = self.machine.decode(b"", True)
+        self.machine.reset()
+        return out
 
 
 @lru_cache(maxsize=2)

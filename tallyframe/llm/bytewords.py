@@ -24,7 +24,7 @@ BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, U64) * U64(2) + U64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
 STEP = U64(0xD6E8FEB86659FD93)
 #: Texts are handled together up to so many bytes; a longer text is handled alone.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 
 @lru_cache(maxsize=2)
@@ -40,7 +40,7 @@ def _powers(log2: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64 for i below n at least."""
-    return _powers(max(21, int(n).bit_length()))
+    return _powers(max(20, int(n).bit_length()))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

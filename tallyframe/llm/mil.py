@@ -159,7 +159,7 @@ def fitted(rows: list[tuple[int, bytes, int]], **options) -> Model | Constant:
     for k, (_, text, _) in enumerate(rows):
         held.append(text)
         size += len(text)
-        if size > 1 << 20 or k + 1 == len(rows):
+        if size > 1 << 19 or k + 1 == len(rows):
             doc, x = passages(held)
             docs.append(doc + before)
             features.append(x.astype(np.float32))
