@@ -88,12 +88,12 @@ def likeness(x: F.Column, y: F.Column) -> F.Column:
     return F.when((n == 0) & (m == 0), F.lit(1.0)).when(F.least(n, m) == 0, F.lit(0.0)).otherwise(same / (n + m - same))
 
 
-def _key(df: DataFrame, id_col: str) -> tuple[F.Column, bool]:
-    """A key without nulls, below all others for a null id; and whether ids repeat."""
-    ends = df.agg(F.min(id_col).alias("a"), F.count(id_col).alias("n"), F.count("*").alias("all")).first()
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit((ends.a or 0) - 1))
+def _key(df: DataFrame, id_col: str) -> tuple[F.Column, int, bool]:
+    """A key without nulls; what it is for a null id (below all others); and whether ids repeat."""
+    none = (df.agg(F.min(id_col)).first()[0] or 0) - 1
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(none).cast("long"))
     repeats = not df.groupBy(key.alias("k")).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    return key, repeats
+    return key, none, repeats
 
 
 def followers(sizes: DataFrame, rows_each: int = 20_000, most: int = 256) -> DataFrame:
@@ -130,9 +130,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by id. Of rows that share the next id, the least text counts as next.
     """
     own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    key, repeats = _key(own, "id")
-    own = own.withColumn("k", key)
+    key, none, repeats = _key(own, "id")
+    own = own.select(key.alias("k"), "text")
     sizes = written(own.groupBy("k").agg(F.max(F.char_length("text")).alias("chars")), "sizes")
+    # both joins read the same columns of this, so that Spark makes and shuffles it once
     texts = own.withColumn("signs", signatures(F.col("text"), chain))
     follow = followers(sizes)
     nexts = texts.join(follow, "k").select(F.col("before").alias("k"), F.substr("text", F.lit(1), F.floor(F.col("before_chars") / 2).cast("int")).alias("piece"), F.col("signs").alias("next_signs"), *([F.col("text").alias("whole")] if repeats else []))
@@ -142,7 +143,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("piece", F.lit(1), half))
-    return joined.select("id", "text", n.cast("long").alias("n_chars"), edited.alias("edited"), "signs", "next_signs").withColumn("edited_signs", signatures(F.col("edited"), chain))
+    id_ = F.when(F.col("k") != none, F.col("k")).cast(df.schema[id_col].dataType).alias("id")
+    return joined.select(id_, "text", n.cast("long").alias("n_chars"), edited.alias("edited"), "signs", "next_signs").withColumn("edited_signs", signatures(F.col("edited"), chain))
 
 
 def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, chain: int = 2) -> DataFrame:
