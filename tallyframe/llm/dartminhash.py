@@ -11,8 +11,9 @@ them count, and further for texts that still have an empty coordinate; work thus
 Signatures are joined in bands. Equal texts are one text from the start. In each bucket of a band every text
 is paired with the bucket's smallest id (a star, not all pairs); pairs are verified exactly (Jaccard of the
 shingle sets); links become classes by alternating large and small stars. Buckets that still hold several
-classes are paired again across classes: all such pairs in buckets of up to ``small`` texts, each text's
-neighbours by length and the classes' smallest ids in larger ones. No pair inside a class is needed twice.
+classes are compared again across classes, every pair: in buckets of up to ``small`` texts as rows of pairs; the
+texts of larger ones by family (texts that such buckets connect) and length, in blocks whose shared shingles
+are counted as matrix products, so that only links become rows. No pair inside a class is needed twice.
 
 Cases: null counts as an empty text; texts without words are alike only if equal; repeated rows give a row
 each; an empty table gives no rows; other columns are not read.
@@ -20,6 +21,8 @@ each; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +31,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm.arrowmap import with_text_columns
 from tallyframe.llm.bytewords import STEP, U64, Words, mix
-from tallyframe.llm.shared import written
+from tallyframe.llm.shared import bounded_batches, written
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 24, 4, 0.8
 
@@ -167,10 +170,99 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(fits & (same >= F.lit(threshold) * (n + m - same) - F.lit(1e-9))).select("a", "b")
 
 
+def _shared(left: tuple[np.ndarray, np.ndarray, int], right: tuple[np.ndarray, np.ndarray, int], width: int = 4096) -> np.ndarray:
+    """How many values each text of the left has in common with each of the right; a side is (text, value, texts)."""
+    both = np.intersect1d(left[1], right[1])
+    out = np.zeros((left[2], right[2]), np.float32)
+    sides = []
+    for doc, value, n in (left, right):
+        at = np.searchsorted(both, value)
+        has = both[np.minimum(at, len(both) - 1)] == value if len(both) else np.zeros(len(value), bool)
+        order = np.argsort(at[has], kind="stable")
+        sides.append((doc[has][order], at[has][order], n))
+    for low in range(0, len(both), width):
+        dense = []
+        for doc, at, n in sides:
+            a, z = np.searchsorted(at, (low, low + width))
+            m = np.zeros((n, min(width, len(both) - low)), np.float32)
+            m[doc[a:z], at[a:z] - low] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _joining(pairs: np.ndarray, classes: np.ndarray) -> list[int]:
+    """Indices of pairs of texts that join all classes which the pairs join, at most one less than the classes."""
+    ends = np.sort(classes[pairs], axis=1)
+    _, first = np.unique(ends, axis=0, return_index=True)
+    up, out = {}, []
+
+    def root(c):
+        while (above := up.get(c, c)) != c:
+            up[c] = up.get(above, above)
+            c = above
+        return c
+
+    for k in first.tolist():
+        a, b = root(int(ends[k, 0])), root(int(ends[k, 1]))
+        if a != b:
+            up[b] = a
+            out.append(k)
+    return out
+
+
+def _block_links(threshold: float):
+    """Links (a, b) across classes between the texts of blocks lo and hi, or of one block where these are the same."""
+
+    def work(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        block, own = table["block"].to_numpy(), table["own"].to_numpy()
+        classes = pa.compute.rank(table["class"], tiebreaker="dense").to_numpy().astype(np.int64)
+        sets = table["shingles"].combine_chunks()
+        sizes = pa.compute.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64)
+        doc, value = np.repeat(np.arange(len(sizes)), sizes), sets.flatten().to_numpy()
+        rows, sides = [], []
+        for at in (table["lo"][0].as_py(), table["hi"][0].as_py()):
+            has = block == at
+            rows.append(np.flatnonzero(has))
+            use = has[doc]
+            sides.append(((np.cumsum(has) - 1)[doc[use]], value[use], len(rows[-1])))
+        same = _shared(*sides)
+        x, y = rows[0][:, None], rows[1][None, :]
+        near = (same >= threshold * (sizes[x] + sizes[y] - same.astype(np.float64)) - 1e-9) & (classes[x] != classes[y]) & (own[x] | own[y])
+        i, j = np.nonzero(near)
+        pairs = np.stack([rows[0][i], rows[1][j]], axis=1)
+        pairs = pairs[_joining(pairs, classes)]
+        return pa.table({"a": table["id"].take(pa.array(pairs[:, 0])), "b": table["id"].take(pa.array(pairs[:, 1]))})
+
+    return work
+
+
+def _family_links(texts: DataFrame, sets: DataFrame, threshold: float, most: int = 256, most_shingles: int = 1 << 19) -> DataFrame:
+    """Links (a, b) that join all classes of a family between which there is a near pair; texts has (family, class, id, n).
+
+    A text stands in its length partition and in the next, as near texts lie in one or neighbouring partitions. In a
+    partition the texts of the largest class meet the blocks of the others, and these meet all blocks.
+    """
+    wide = max(-math.log(threshold) * (1 + 1e-6), 1e-9)
+    part = F.floor(F.log(F.col("n").cast("double")) / wide)
+    placed = texts.withColumn("p", F.explode(F.array(part, part + 1))).withColumn("own", F.col("p") == part)
+    by_class = placed.groupBy("family", "p", "class").agg(F.count("*").alias("c"), F.sum("n").alias("s"), F.max("own").alias("own"))
+    top = by_class.groupBy("family", "p").agg(F.max(F.struct("c", "s", "class")).alias("t"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.max("own").alias("used"))
+    blocks = lambda c, s: F.greatest(F.ceil(c / most), F.ceil(s / most_shingles))
+    top = top.where(F.col("used") & (F.col("c") > F.col("t.c"))).select("family", "p", F.col("t.class").alias("largest"), blocks(F.col("t.c"), F.col("t.s")).alias("in_largest"), blocks(F.col("c") - F.col("t.c"), F.col("s") - F.col("t.s")).alias("others"))
+    met = placed.join(top, ["family", "p"])
+    first = F.col("class") == F.col("largest")
+    at = F.when(first, F.col("others") + F.pmod(F.xxhash64("id"), F.col("in_largest"))).otherwise(F.pmod(F.xxhash64("id"), F.col("others")))
+    met = met.withColumn("block", at).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(first, F.col("others")).otherwise(F.col("others") + F.col("in_largest")) - 1)))
+    met = met.select("family", "p", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "id", "class", "block", "own").join(sets, "id")
+    bounded_batches(texts.sparkSession)
+    kind = dict(texts.dtypes)["id"]
+    return met.groupBy("family", "p", "lo", "hi").applyInArrow(_block_links(threshold), f"a {kind}, b {kind}")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, small: int = 48) -> DataFrame:
     """(doc_id, class_id): texts of a class are linked by pairs that are equal or near; class_id is its smallest id."""
-    from pyspark.sql import Window
-
     own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = own.withColumn("same", F.unhex(F.md5("text")))
     signed = written(signed_texts(keyed, "text", bands, rows, shingle).select("id", "same", "bands", "n_shingles"), "signed")
@@ -193,19 +285,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     low = rest.where(F.col("members") <= small)
     across = low.alias("p").join(low.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.class") < F.col("q.class"))).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))
     high = rest.where(F.col("members") > small)
-    heads = high.groupBy("key", "class").agg(F.min(F.struct("id", "n")).alias("h")).select("key", "class", "h.id", "h.n")
-    # neighbours by length inside a bucket; hot buckets are dealt over 64 windows by id
-    beside = []
-    for part in (high.select("key", "class", "id", "n"), heads):
-        near = Window.partitionBy("key", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("n", "id")
-        beside.append(part.select(F.col("id").alias("a"), F.lead("id").over(near).alias("b"), "class", F.lead("class").over(near).alias("other")).where("class <> other").select("a", "b"))
-    firsts = high.groupBy("key").agg(F.max_by("id", F.struct("n", "id")).alias("b"))
-    beside.append(heads.join(firsts, "key").select(F.col("id").alias("a"), "b").where("a <> b"))
-    for x in beside:
-        across = across.unionByName(x)
     again = across.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct()
     again = again.join(pairs, ["a", "b"], "left_anti")
-    more = written(_verified(again, sets, threshold), "links")
+    more = _verified(again, sets, threshold)
+    if not high.isEmpty():
+        families = components(high.select(F.col("id").alias("a"), "b")).select("id", F.col("class").alias("family"))
+        texts_of = high.select("id", "class", "n").distinct().join(families, "id", "left").withColumn("family", F.coalesce("family", "id"))
+        more = more.unionByName(_family_links(texts_of, sets, threshold))
+    more = written(more, "links")
     if not more.isEmpty():
         classes = components(links.unionByName(more))
     final = texts.join(classes, texts["rep"] == classes["id"], "left").select("same", F.coalesce("class", "rep").alias("class_id"))

@@ -95,3 +95,49 @@ def test_empty(spark):
 def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert {r.doc_id: r.class_id for r in op8_dart_minhash(spark, sf_dir).collect()} == brute(rows)
+
+
+def family(rnd, n, edits, near):
+    """Texts of one template with the given edits each; texts of middle ids have one edit, so that they are near each other alone."""
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+    places = lambda k: rnd.sample(range(5, 195, 8), k)
+
+    def made(k):
+        words = list(base)
+        for at in places(k):
+            words[at] = f"e{rnd.randrange(10**9)}"
+        return " ".join(words)
+
+    rows = [(i * 10, made(edits)) for i in range(n)]
+    return rows + [(n // 2 * 10 + 1 + 3 * i, made(1)) for i in range(near)]
+
+
+def test_pairs_of_large_buckets_that_no_head_links(spark):
+    rnd = random.Random(4)
+    rows = family(rnd, 300, 6, 2) + [(-5000 + i, t) for i, t in family(rnd, 120, 7, 0)]
+    rows += [(10**6, rows[-1][1] + " w w w w w w w w w w w w")]
+    want = brute(rows)
+    assert len(set(want.values())) == len(rows) - 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in dartminhash.near_duplicates(df, small=8).collect()} == want
+
+
+def test_block_comparison_by_all_pairs(spark):
+    rnd = random.Random(5)
+    rows = [(f, f * 1000 + i, sorted(rnd.sample(range(f * 100, f * 100 + 45), rnd.randrange(28, 45)))) for f in range(3) for i in range(60)]
+    classes = {i: i - i % 4 if i % 1000 < 16 else i if i % 3 else f * 1000 + 999 for f, i, _ in rows}
+    texts = spark.createDataFrame([(f, classes[i], i, len(s)) for f, i, s in rows], "family long, class long, id long, n long")
+    sets = spark.createDataFrame([(i, s) for _, i, s in rows], "id long, shingles array<long>")
+
+    def joined(links):
+        up = {c: c for c in classes.values()}
+        for a, b in links:
+            x, y = up[classes[a]], up[classes[b]]
+            up = {c: x if r == y else r for c, r in up.items()}
+        return {frozenset(c for c in up if up[c] == r) for r in up.values()}
+
+    near = [(i, j) for f, i, s in rows for g, j, t in rows if f == g and i < j and len(set(s) & set(t)) >= 0.8 * len(set(s) | set(t)) - 1e-9]
+    for most in (7, 1000):
+        got = [(r.a, r.b) for r in dartminhash._family_links(texts, sets, 0.8, most).collect()]
+        assert {tuple(sorted(x)) for x in got} <= set(near) and joined(got) == joined(near)
+    assert 3 < len(joined(near)) < len(set(classes.values()))
