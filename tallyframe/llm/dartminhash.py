@@ -1,7 +1,8 @@
 """Near duplicates by DartMinHash: sparse weighted signatures, banded joining, exact verification.
 
-Elements are shingles of five words (a text of fewer, but some, is one shingle), weighing 1 + log2 of their
-count in the text. The plane over an element, weight by rank, is cut into regions of dyadic weight
+Elements are the distinct shingles of five words (a text of fewer, but some, is one shingle), each of weight 1
+however often it stands in the text: links are decided by the likeness of the sets, so signatures estimate that
+same likeness. ``signatures`` takes any weights. The plane over an element, weight by rank, is cut into regions of dyadic weight
 ([0,1), [1,2), [2,4), ...); into each region darts are thrown at hashed, exponentially spaced ranks. A dart
 counts if its weight lies below the element's; it has a hashed coordinate. Of the darts of all elements the
 earliest at each of k coordinates is the signature, so two texts agree at a coordinate with the
@@ -112,8 +113,8 @@ def signed_texts(df: DataFrame, text_col: str = "text", bands: int = BANDS, rows
 
     def factory():
         def compute(texts):
-            doc, h, count = elements(texts, shingle)
-            keys = band_keys(signatures(doc, h, 1 + np.log2(count), len(texts), bands * rows), bands, rows).view(np.int64)
+            doc, h, _ = elements(texts, shingle)
+            keys = band_keys(signatures(doc, h, np.ones(len(h)), len(texts), bands * rows), bands, rows).view(np.int64)
             n = np.bincount(doc, minlength=len(texts))
             keys = keys[n > 0]
             offsets = np.zeros(len(texts) + 1, np.int32)

@@ -141,3 +141,15 @@ def test_block_comparison_by_all_pairs(spark):
         got = [(r.a, r.b) for r in dartminhash._family_links(texts, sets, 0.8, most).collect()]
         assert {tuple(sorted(x)) for x in got} <= set(near) and joined(got) == joined(near)
     assert 3 < len(joined(near)) < len(set(classes.values()))
+
+
+def test_repeated_text_is_near_itself(spark):
+    rnd = random.Random(12)
+    rows = []
+    for i in range(60):
+        words = [f"w{rnd.randrange(10**9)}" for _ in range(150)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words * (2 + i % 15)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert all(want[i] == i - i % 2 for i in want)
+    assert {r.doc_id: r.class_id for r in dartminhash.near_duplicates(df).collect()} == want
