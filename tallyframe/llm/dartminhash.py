@@ -17,7 +17,8 @@ texts of larger ones by family (texts that such buckets connect) and length, in
 are counted as matrix products, so that only links become rows. No pair inside a class is needed twice.
 
 Cases: null counts as an empty text; texts without words are alike only if equal; repeated rows give a row
-each; an empty table gives no rows; other columns are not read.
+each; where ids are null or repeat, rows are told apart by id and text, and a class of null ids alone has a null
+class_id; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 from tallyframe.llm.arrowmap import with_text_columns
 from tallyframe.llm.bytewords import STEP, U64, Words, mix
 from tallyframe.llm.shared import bounded_batches, written
+from tallyframe.llm.suffixdedup import _numbered
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 24, 4, 0.8
 
@@ -262,8 +264,19 @@ def _family_links(texts: DataFrame, sets: DataFrame, threshold: float, most: int
     return met.groupBy("family", "p", "lo", "hi").applyInArrow(_block_links(threshold), f"a {kind}, b {kind}")
 
 
+def _plain_ids(df: DataFrame, id_col: str) -> bool:
+    """Whether no id is null and none repeats."""
+    return df.groupBy(F.col(id_col).alias("k")).agg(F.count("*").alias("n")).where("n > 1 OR k IS NULL").isEmpty()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, small: int = 48) -> DataFrame:
     """(doc_id, class_id): texts of a class are linked by pairs that are equal or near; class_id is its smallest id."""
+    if not _plain_ids(df, id_col):
+        numbered, docs = _numbered(df.select(F.col(id_col).alias("__of"), F.col(text_col).alias("__own")), "__of", "__own")
+        found = near_duplicates(docs, "uid", "text", threshold, bands, rows, shingle, small)
+        found = written(numbered.select("uid", F.col("__of").alias("of")).join(found, "uid").select("of", "class_id"), "found")
+        least = found.groupBy("class_id").agg(F.min("of").alias("least"))
+        return found.join(least, "class_id").select(F.col("of").alias(id_col), F.col("least").alias("class_id"))
     own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = own.withColumn("same", F.unhex(F.md5("text")))
     signed = written(signed_texts(keyed, "text", bands, rows, shingle).select("id", "same", "bands", "n_shingles"), "signed")
@@ -300,7 +313,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return signed.select("id", "same").join(final, "same").select(F.col("id").alias(id_col), "class_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of df that are the first of their class, with df's columns; of rows with one id one stays."""
-    classes = near_duplicates(df, id_col, **options).where(F.col(id_col) == F.col("class_id")).select(F.col(id_col)).distinct()
-    return df.join(classes, id_col, "left_semi").select(*df.columns)
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The first row of each class of df, with df's columns; a null id comes first, and of rows of one id the least md5 of the text."""
+    if _plain_ids(df, id_col):
+        classes = near_duplicates(df, id_col, text_col, **options).where(F.col(id_col) == F.col("class_id")).select(F.col(id_col)).distinct()
+        return df.join(classes, id_col, "left_semi").select(*df.columns)
+    own, docs = _numbered(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(id_col).alias("__of"), F.col(text_col).alias("__own")), "__of", "__own")
+    first = near_duplicates(docs, "uid", "text", **options).where("uid = class_id").select("uid").distinct()
+    return own.join(first, "uid", "left_semi").select("uid", "__row").dropDuplicates(["uid"]).select("__row.*")

@@ -153,3 +153,19 @@ def test_repeated_text_is_near_itself(spark):
     want = brute(rows)
     assert all(want[i] == i - i % 2 for i in want)
     assert {r.doc_id: r.class_id for r in dartminhash.near_duplicates(df).collect()} == want
+
+
+def test_null_and_repeated_ids_by_rows(spark):
+    rnd = random.Random(13)
+    base = [f"w{i}" for i in range(200)]
+    near, far = edited(rnd, base, 2), " ".join(f"v{i}" for i in range(30))
+    rows = [(3, " ".join(base)), (3, " ".join(base)), (3, near), (4, far), (3, "other words"), (None, "clean text"), (5, "clean text"), (None, "more text"), (None, "more text"), (None, None)]
+    df = spark.createDataFrame([(*r, k, "x") for k, r in enumerate(rows)], "doc_id long, text string, uid int, of string")
+    kept = dartminhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sum(t in (" ".join(base), near) for _, t in got) == 1
+    rest = [x for x in got if x[1] not in (" ".join(base), near)]
+    assert sorted(rest, key=str) == sorted([(4, far), (3, "other words"), (None, "clean text"), (None, "more text"), (None, None)], key=str)
+    classes = sorted(((r.doc_id, r.class_id) for r in dartminhash.near_duplicates(df).collect()), key=str)
+    assert classes == sorted([(3, 3)] * 4 + [(4, 4), (None, 5), (5, 5), (None, None), (None, None), (None, None)], key=str)
