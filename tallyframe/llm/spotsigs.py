@@ -7,8 +7,9 @@ set of the signatures' crc32, as an ascending array; ``fingerprint_text`` writes
 
 ``near_pairs`` compares fingerprints: sets fall into partitions by length whose bounds grow by 1/threshold, so
 that only neighbouring partitions can hold similar sets; sets are joined on their rarest signatures (as many
-as the threshold makes necessary), pruned by length, and compared exactly. Equal sets are one set from the
-start, and a bucket pairs its members with its smallest id only, so a group of copies gives a star.
+as the threshold makes necessary), pruned by length, and compared exactly: every pair of a bucket, whose members
+are dealt over blocks so that no task holds a frequent signature alone. Equal sets are one set from the start,
+so a group of copies gives a star.
 
 Everything is DataFrame functions. Cases: null is an empty text; a text without content words has an empty
 fingerprint, like another empty one by 1 and any other by 0; rows of one id are compared each; an empty table
@@ -147,23 +148,29 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select(id_, "text", n.cast("long").alias("n_chars"), edited.alias("edited"), "signs", "next_signs").withColumn("edited_signs", signatures(F.col("edited"), chain))
 
 
-def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, chain: int = 2) -> DataFrame:
-    """(id, near, likeness): texts and a smaller id of an equal or near fingerprint (a star in each bucket)."""
+def near_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, chain: int = 2, most: int = 256) -> DataFrame:
+    """(id, near, likeness): texts of an equal fingerprint with its smallest id, and all near pairs of these ids, the smaller as near."""
     signed = written(df.select(F.col(id_col).alias("id"), signatures(F.col(text_col), chain).alias("signs")), "signs")
     sets = signed.groupBy("signs").agg(F.min("id").alias("rep")).withColumn("n", F.size("signs"))
     equal = signed.join(sets.select("signs", "rep"), "signs").where("id <> rep").select("id", F.col("rep").alias("near"), F.lit(1.0).alias("likeness"))
     each = sets.where("n > 0").select("rep", "n", F.explode("signs").alias("sign"))
     rarity = each.groupBy("sign").agg(F.count("*").alias("sets"))
     ranked = each.join(rarity, "sign").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("sets", "sign"))).alias("by"))
-    need = (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int")
+    need = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
     prefix = ranked.select("rep", "n", F.explode(F.slice("by", F.lit(1), need)).alias("s")).select("rep", "n", F.col("s.sign").alias("sign"))
     # a set stands in its own length partition and the next, so that similar sets meet in one
-    part = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(threshold)))
-    placed = prefix.withColumn("part", F.explode(F.array(part, part + 1)))
-    heads = placed.groupBy("sign", "part").agg(F.min("rep").alias("near"))
-    pairs = placed.join(heads, ["sign", "part"]).where("rep <> near").select("rep", "near").distinct()
+    part = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(-math.log(threshold) * (1 + 1e-6), 1e-9)))
+    placed = prefix.withColumn("part", F.explode(F.array(part, part + 1))).withColumn("own", F.col("part") == part)
+    # every two members of a bucket meet in one pair of blocks
+    held = placed.groupBy("sign", "part").agg(F.ceil(F.count("*") / most).alias("blocks"), F.count("*").alias("members")).where("members > 1")
+    met = placed.join(held, ["sign", "part"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    p, q = (met.select("sign", "part", "lo", "hi", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "block", "own")]) for side in "pq")
+    fits = F.least("n_p", "n_q") >= F.greatest("n_p", "n_q") * F.lit(threshold) - 1e-9
+    once = ((F.col("lo") == F.col("hi")) | (F.col("block_p") != F.col("block_q"))) & (F.col("own_p") | F.col("own_q"))
+    pairs = p.join(q, ["sign", "part", "lo", "hi"]).where((F.col("rep_p") > F.col("rep_q")) & fits & once).select(F.col("rep_p").alias("rep"), F.col("rep_q").alias("near")).distinct()
     x, y = sets.select("rep", F.col("signs").alias("x")), sets.select(F.col("rep").alias("near"), F.col("signs").alias("y"))
     n, m = F.size("x"), F.size("y")
-    pruned = pairs.join(x, "rep").join(y, "near").where(F.least(n, m) >= F.greatest(n, m) * F.lit(threshold))
+    pruned = pairs.join(x, "rep").join(y, "near").where(F.least(n, m) >= F.greatest(n, m) * F.lit(threshold) - 1e-9)
     close = pruned.withColumn("likeness", likeness(F.col("x"), F.col("y"))).where(F.col("likeness") >= threshold)
     return close.select(F.col("rep").alias("id"), "near", "likeness").unionByName(equal)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 
@@ -73,3 +74,23 @@ def test_near_pairs(spark):
     rows = [(1, base), (2, base), (3, base.replace("w5 ", "zz ")), (4, " ".join(f"of a{i} b{i}" for i in range(60))), (5, None)]
     got = {(r.id, r.near) for r in spotsigs.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(2, 1), (3, 1)}
+
+
+def test_near_pairs_by_all_pairs(spark):
+    rnd = random.Random(2)
+    rows = []
+    for f in range(3):
+        base = [f"the f{f}w{i} v{i}" for i in range(40)]
+        for i in range(30):
+            words = base[: rnd.randrange(34, 41)]
+            for k in rnd.sample(range(len(words)), rnd.choice([1, 2, 4, 6])):
+                words[k] = f"of e{rnd.randrange(9)} g{k}"
+            rows.append((len(rows), " ".join(words)))
+    sets = {i: brute(t) for i, t in rows}
+    assert len({frozenset(x) for x in sets.values()}) == len(rows)
+    want = {(i, j) for i in sets for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (7, 256):
+        got = [(r.id, r.near) for r in spotsigs.near_pairs(df, most=most).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert len(want) > 20
