@@ -72,6 +72,14 @@ def anchors(row_words: DataFrame, phrases: list[tuple[str, str]], page: str = "p
     return listed.select(page, "row_ix", F.explode(chosen).alias("c")).select(page, "row_ix", "c.kind", "c.x0", F.col("c.end").alias("x1"))
 
 
+def table_header(found: DataFrame, page: str = "page") -> DataFrame:
+    """(page, row_ix): the first row whose anchors hold three kinds, or quantity and unit price, or description and total."""
+    kinds = F.collect_set("kind")
+    both = lambda a, b: F.array_contains("k", a) & F.array_contains("k", b)
+    rows = found.groupBy(page, "row_ix").agg(kinds.alias("k")).where((F.size("k") >= 3) | both("quantity", "unit_price") | both("description", "total"))
+    return rows.groupBy(page).agg(F.min("row_ix").alias("row_ix"))
+
+
 def take_while(rows: DataFrame, stop, page: str = "page") -> DataFrame:
     """The rows of each page before the first for which ``stop`` holds."""
     order = Window.partitionBy(page).orderBy("row_ix").rowsBetween(Window.unboundedPreceding, 0)

@@ -3,7 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.functions.text import fold
 from tallyframe.operators import layout, masters, reconcile, recompute, report
+from tallyframe.plans import pages
 from tallyframe.sources import readers
 from tallyframe.streaming import folder
 
@@ -109,3 +111,32 @@ def test_stream_books_new_payables_once(spark, tmp_path):
     for _ in range(2):
         folder.book_new_lines(spark, str(tmp_path / "lines"), out, str(tmp_path / "state")).awaitTermination(60)
     assert [(r.payable, float(r.line_base), float(r.line_tax)) for r in spark.read.parquet(out).collect()] == [(1, 100.0, 20.0)]
+
+
+def test_column_anchors_over_whole_texts(spark, sf_dir):
+    kinds = list(dict.fromkeys(k for k, _ in pages._HEADS))
+    rows, want, headed = {}, {}, set()
+    for r in layout.row_clusters(pages.words(spark, sf_dir)).select("page", "row_ix", "x0", "word_ix", fold(F.col("text")).alias("f")).collect():
+        rows.setdefault((r.page, r.row_ix), []).append((r.x0, r.word_ix, r.f))
+    for (page, row), own in sorted(rows.items()):
+        own.sort()
+        found, claimed = {}, set()
+        for n in (3, 2, 1):
+            for at in range(len(own) - n + 1):
+                phrase = " ".join(w[2] for w in own[at : at + n]).strip()
+                kind = next((k for k in kinds if k not in found and (k, phrase) in pages._HEADS), None)
+                if kind and not claimed & set(range(at, at + n)):
+                    found[kind] = own[at][0]
+                    claimed |= set(range(at, at + n))
+        if found:
+            heads = len(found) >= 3 or {"quantity", "unit_price"} <= set(found) or {"description", "total"} <= set(found)
+            want[page, row] = (",".join(sorted(found)), min(found.values()), heads and page not in headed)
+            headed |= {page} if heads else set()
+    got = {(r.page, r.row_ix): (r.kinds, r.x0, r.header) for r in pages.column_anchors(spark, sf_dir).collect()}
+    assert got == want and headed
+
+
+def test_table_header_rules(spark):
+    found = [(1, 4, "quantity"), (1, 5, "description"), (1, 5, "total"), (1, 7, "quantity"), (1, 7, "unit_price"), (2, 9, "unit_price"), (2, 9, "quantity"), (3, 3, "tax"), (3, 3, "uom"), (3, 8, "tax"), (3, 8, "uom"), (3, 8, "total"), (4, 0, "total"), (4, 0, "tax")]
+    heads = layout.table_header(spark.createDataFrame(found, "page long, row_ix long, kind string")).collect()
+    assert {(r.page, r.row_ix) for r in heads} == {(1, 5), (2, 9), (3, 8)}
