@@ -9,7 +9,7 @@ Score: 1 - product of (1 - weight) over the kinds of evidence found, so 0 withou
 a tag whose expression parses weighs 0.9, a base phrase 0.7, another notice phrase 0.5.
 
 Cases: a null or empty text has no words, no places, empty labels and score 0; a broken expression counts
-as the licences it names, without alternatives; repeated phrases count once for labels and each for places.
+as the licences it names, without alternatives; one of over 256 alternatives counts in full, but they are not listed; repeated phrases count once for labels and each for places.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ WEIGHT = {"tag": 0.9, "base": 0.7, "notice": 0.5}
 
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+\-]*")
 _RANK = {"or": 1, "and": 2, "with": 3}
-_EXPRESSION = re.compile(rb"[^A-Za-z0-9(\r\n]*([A-Za-z0-9(][A-Za-z0-9.+\-() \t]{0,400})")
+_EXPRESSION = re.compile(rb"[^A-Za-z0-9(\r\n]*([A-Za-z0-9(][A-Za-z0-9.+\-() \t]*)")
 
 
 class ExpressionError(ValueError):
@@ -90,12 +90,32 @@ def postfix(expression: str) -> list[str]:
     return out + stack[::-1]
 
 
+def _operand(token: str) -> str:
+    return IDENTIFIERS.get(token.rstrip("+"), token)
+
+
+def named(expression: str) -> set[str]:
+    """The labels of all alternatives of an expression, however many these are."""
+    values: list[set[str]] = []
+    for token in postfix(expression):
+        if token not in _RANK:
+            values.append({_operand(token)})
+            continue
+        right = values.pop()
+        if token == "with":
+            exception = "+".join(sorted(right))
+            values[-1] = {f"{x}-with-{exception}" for x in values[-1]}
+        else:
+            values[-1] |= right
+    return values[0]
+
+
 def alternatives(expression: str, most: int = 256) -> frozenset[frozenset[str]]:
-    """The sets of licences any one of which satisfies the expression; over ``most`` of them count as broken."""
+    """The sets of licences any one of which satisfies the expression; over ``most`` of them are an error."""
     values: list[frozenset[frozenset[str]]] = []
     for token in postfix(expression):
         if token not in _RANK:
-            values.append(frozenset([frozenset([IDENTIFIERS.get(token.rstrip("+"), token)])]))
+            values.append(frozenset([frozenset([_operand(token)])]))
             continue
         right, left = values.pop(), values.pop()
         if token == "or":
@@ -170,13 +190,17 @@ class Scanner:
             expression = got[1].decode("ascii").strip()
             out.expressions.append(expression)
             try:
-                sets = alternatives(expression)
+                names = named(expression)
             except ExpressionError:
                 out.labels.update(IDENTIFIERS[x] for x in (t.lower().rstrip(".+") for t in _TOKEN.findall(expression)) if x in IDENTIFIERS)
                 continue
             out.tagged = True
+            out.labels |= names
+            try:
+                sets = alternatives(expression)
+            except ExpressionError:
+                continue  # too many to list
             out.choices += sorted("+".join(sorted(x)) for x in sets) and [sorted("+".join(sorted(x)) for x in sets)]
-            out.labels.update(x for a in sets for x in a)
 
 
 FIELDS = [

@@ -58,3 +58,15 @@ def test_query_against_brute_force(spark, sf_dir):
     for r in rows:
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(texts[r.doc_id])
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+
+
+def test_long_expressions():
+    names = [f"licenseref-{i:03}" for i in range(60)]
+    found = licences.Scanner().scan(("// SPDX-License-Identifier: (" + " AND ".join(names) + ") OR MIT\nISC").encode())
+    assert found.labels == {*names, "mit"} and found.tagged and len(found.choices[0]) == 2
+    pairs = [(f"a{i}", f"b{i}") for i in range(9)]
+    many = " AND ".join(f"({a} OR {b})" for a, b in pairs) + " AND GPL-2.0 WITH e-1"
+    found = licences.Scanner().scan(("SPDX-License-Identifier: " + many).encode())
+    assert found.labels == {x for p in pairs for x in p} | {"gpl-2-with-e-1"} and found.tagged and found.score() == 0.9
+    for e in ("MIT", "MIT OR Apache-2.0 AND ISC", "GPL-2.0 WITH c-2.0 OR MIT", "(MIT OR x) WITH y AND z+"):
+        assert licences.named(e) == {x for a in licences.alternatives(e) for x in a}
