@@ -13,7 +13,7 @@ log P(language | all) = log P(language | host) + temper * log P(text | language)
   votes spread like the level above. Votes are counted by (level, language), so a host with a third
   of all rows is summed before the shuffle and read back as one row.
 
-Tables that are broadcast hold languages (at most ``MOST_LANGUAGES``, checked) times cells.
+Tables that are broadcast hold languages times cells; beyond ``MOST_LANGUAGES`` tasks count cells sparsely.
 
 Cases: a null or empty text says nothing; a missing or unknown declaration, suffix or host says nothing; without
 labelled texts the language is null; ties go to the language that sorts first; repeated rows each vote.
@@ -72,12 +72,20 @@ def cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def trigram_table(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, log P(cell | language)) counted over all rows with a language."""
     known = docs.where(F.col(lang_col).isNotNull())
-    langs = sorted(r[0] for r in known.groupBy(F.lower(F.col(lang_col).cast("string"))).count().limit(MOST_LANGUAGES + 1).collect())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    langs = sorted(r[0] for r in known.groupBy(F.lower(F.col(lang_col).cast("string"))).count().collect())
     bounded_batches(docs.sparkSession)
     number = {x: i for i, x in enumerate(langs)}
 
+    def counted(at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
+
+    def work_many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([number[x] for x in batch.column(1).to_pylist()], np.int64)
+            for at, texts in sub_batches(batch.column(0)):
+                of, cell = cells(texts)
+                yield counted(*np.unique((lang[at + of] << TABLE_BITS) + cell, return_counts=True))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((max(1, len(number)), 1 << TABLE_BITS), np.int64)
         for batch in batches:
@@ -86,10 +94,10 @@ def trigram_table(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                 of, cell = cells(texts)
                 n += np.bincount((lang[at + of] << TABLE_BITS) + cell, minlength=n.size).reshape(n.shape)
         at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.ravel()[at])], ["at", "n"])
+        yield counted(at, n.ravel()[at])
 
     counts = np.zeros(max(1, len(langs)) << TABLE_BITS)
-    for r in known.select(text_col, F.lower(F.col(lang_col).cast("string")).alias("lang")).mapInArrow(work, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for r in known.select(text_col, F.lower(F.col(lang_col).cast("string")).alias("lang")).mapInArrow(work if len(langs) <= MOST_LANGUAGES else work_many, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         counts[r.at] = r.n
     counts = counts.reshape(-1, 1 << TABLE_BITS) + 0.5
     return langs, np.log(counts / counts.sum(1, keepdims=True))

@@ -61,3 +61,17 @@ def test_cases(spark):
     assert got[2, None].lang == "de" and got[2, None].host == "www.a.de" and got[None, 5].lang == "en"
     assert langid.identify(pages.limit(0), docs.limit(0)).collect() == []
     assert {r.lang for r in langid.identify(pages, docs.limit(0)).collect()} == {None}
+
+
+def test_many_languages(spark):
+    rows = [(i, f"wort{i} " * 30 + "a b", f"x{i:03}", f"s{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(2)
+    langs, table = langid.trigram_table(docs)
+    assert langs == [f"x{i:03}" for i in range(300)]
+    counts = np.full((300, 1 << langid.TABLE_BITS), 0.5)
+    for i, text, _, _ in rows:
+        np.add.at(counts[i], langid.cells([text.encode()])[1], 1)
+    assert np.allclose(table, np.log(counts / counts.sum(1, keepdims=True)))
+    pages = spark.createDataFrame([(1, None, "wort7 wort7 wort7")], "page_id long, url string, html string")
+    got = langid.identify(pages, docs).collect()
+    assert len(got) == 301 and all(r.text_lang is not None and 0 < r.probability <= 1 for r in got)
