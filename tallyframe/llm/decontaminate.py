@@ -11,12 +11,14 @@ Item windows go to the executors in blocks of a checked size (``block_windows``)
 pass over the documents without a shuffle, so a benchmark of any size is joined whole.
 
 Cases: a null or empty text has no words and no hits; an item without words has no window; repeated items
-all count; repeated documents give a row each; an empty benchmark gives no hits; other columns are carried.
+all count; repeated documents give a row each; an empty benchmark gives no hits; other columns are carried, those
+named like a computed one replaced (``decontaminate`` returns every column as it was).
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,12 @@ from pyspark.sql import types as T
 
 from tallyframe.llm.arrowmap import with_text_columns
 from tallyframe.llm.bytewords import Words
-from tallyframe.llm.shared import bounded_batches
+from tallyframe.llm.shared import bounded_batches, packed, unpacked
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Spans are word ranges [start, stop) of one window's occurrence.
-SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()), T.StructField("item_id", T.StringType())])
+#: Spans are word ranges [start, stop) of one window's occurrence, with the bytes [begin, end) that they stand in.
+SPAN = T.StructType([*[T.StructField(n, T.LongType()) for n in ("start", "stop", "begin", "end")], T.StructField("item_id", T.StringType())])
 
 
 def words_column(text) -> F.Column:
@@ -91,7 +93,7 @@ class Prefix:
         self.widths = np.unique(block.widths).tolist()
         self.texts, self.size, self.items = block.texts, block.size.tolist(), block.items
 
-    def spans(self, texts: list[bytes], finder: "Finder") -> tuple[Words, dict[int, list[tuple[int, int, str]]]]:
+    def spans(self, texts: list[bytes], finder: "Finder") -> tuple[Words, dict[int, list[dict]]]:
         words, out = Words(texts), defaultdict(list)
         for width in self.widths:
             at, h = words.shingles(width)
@@ -101,7 +103,8 @@ class Prefix:
                 for window, offset in self.targets[k]:
                     start, n = i - offset, self.size[window]
                     if start >= low and start + n <= high and words.text_of(start, n) == self.texts[window]:
-                        out[doc] += [(start - low, start - low + n, item) for item in self.items[window]]
+                        place = {"start": start - low, "stop": start - low + n, "begin": int(words.start[start] - words.at[doc]), "end": int(words.end[start + n - 1] - words.at[doc])}
+                        out[doc] += [{**place, "item_id": item} for item in self.items[window]]
         return words, out
 
 
@@ -149,8 +152,8 @@ def document_frequency(docs: DataFrame, text_col: str, known: np.ndarray, widths
     return out
 
 
-def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 5, block_windows: int = 20_000, out: str = "spans") -> DataFrame:
-    """docs with ``n_words`` and ``out``: array of (start, stop, item_id), every occurrence of every window.
+def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, shingle: int = 5, block_windows: int = 200_000, out: str = "spans") -> DataFrame:
+    """docs with ``n_words`` and ``out``: array of ``SPAN``, every occurrence of every window.
 
     The driver holds one block of windows and its shingle counts at a time: ``block_windows`` windows on average.
     """
@@ -171,7 +174,7 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
 
             def compute(texts):
                 words, hits = prefix.spans(texts, finder)
-                return words.counts().tolist(), [[{"start": a, "stop": z, "item_id": i} for a, z, i in hits.get(d, ())] for d in range(len(texts))]
+                return words.counts().tolist(), [hits.get(d, []) for d in range(len(texts))]
 
             return compute
 
@@ -199,9 +202,11 @@ def judged(docs: DataFrame, items: DataFrame, share: float = 0.05, **options) ->
     """find_spans with n_hit, item_ids (sorted) and contaminated: some word hit, and at least ``share`` of all."""
     found = find_spans(docs, items, **options)
     found = found.withColumn("n_hit", hit_words(F.col("spans"))).withColumn("item_ids", F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item_id"]))))
-    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * F.lit(round(1 / share)) >= F.col("n_words")))
+    least = Fraction(share).limit_denominator(1_000_000)
+    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * F.lit(least.denominator) >= F.col("n_words") * F.lit(least.numerator)))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of docs that are not contaminated, with the columns of docs."""
-    return judged(docs, items, **options).where(~F.col("contaminated")).select(*docs.columns)
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that are not contaminated, with the columns of docs, whatever these are called."""
+    kept = judged(packed(docs, text_col), items, **options).where(~F.col("contaminated"))
+    return unpacked(kept, docs.columns, text_col)

@@ -6,7 +6,8 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,6 +46,18 @@ def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
         spark.conf.set(key, size)
 
 
+def packed(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """df as (__row, text): all columns but the text in one struct, so that no column's name can clash with a computed one."""
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    return df.select(F.struct(F.lit(0).alias("__"), *others).alias("__row"), F.col(f"`{text_col}`").alias("text"))
+
+
+def unpacked(df: DataFrame, columns: list[str], text_col: str = "text", text: Column | None = None) -> DataFrame:
+    """The columns that ``packed`` put away, in their order; ``text`` may be another expression."""
+    text = F.col("text") if text is None else text
+    return df.select(*[(text if c == text_col else F.col(f"__row.`{c}`")).alias(c) for c in columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

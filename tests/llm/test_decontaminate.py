@@ -62,7 +62,15 @@ def test_empty_tables(spark):
 
 
 def test_filter_keeps_columns(spark):
-    docs = spark.createDataFrame([(1, "a b c d", "en"), (2, "p q", None)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(1, "a b c d", "en"), (2, "p q", None)], "doc_id long, text string, lang string").selectExpr("7 AS n_hit", "*", "'w' AS n_words", "8 AS spans", "9 AS contaminated", "'i' AS item_ids")
     items = spark.createDataFrame([(1, "b c")], "item_id long, text string")
     kept = decontaminate.decontaminate(docs, items)
-    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(7, 2, "p q", None, "w", 8, 9, "i")]
+
+
+def test_share_and_bytes(spark):
+    docs = spark.createDataFrame([(n, "b c " + "x " * n) for n in range(1, 9)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "B-c")], "item_id long, text string")
+    rows = decontaminate.judged(docs, items, share=0.3).collect()
+    assert {r.doc_id for r in rows if r.contaminated} == {n for n in range(1, 9) if 10 * 2 >= 3 * (n + 2)}
+    assert all([(s.start, s.stop, s.begin, s.end) for s in r.spans] == [(0, 2, 0, 3)] for r in rows)
