@@ -18,12 +18,12 @@ that holds one row. Rounds are written to the shared folder.
 
 Cases: null is an empty text; texts shorter than ``length`` are kept whole; rows of one id count as documents
 in the order of their texts' md5, equal rows as one document; an empty table gives no rows. Extra columns are
-carried; columns named like the results are replaced.
+carried; ``remaining`` replaces columns named like its results, ``dedup`` returns every column as it was.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +33,12 @@ from pyspark.sql import types as T
 
 from tallyframe.llm.anchors import Bytes, anchor_runs
 from tallyframe.llm.bytewords import STEP, U64, mix, sub_batches
-from tallyframe.llm.shared import bounded_batches, written
+from tallyframe.llm.shared import bounded_batches, packed, unpacked, written
 
 LENGTH, GRAM, WIDTHS = 100, 24, (16, 4, 1)
 #: A run in one number: where it starts in its text, its windows, how far its anchor lies after the start (of a
 #: piece: how far the piece lies after its run's start).
-_COUNT, _LEAD = 8, 8
+_COUNT, _LEAD = 12, 12
 _RANKED = "r1 long, r2 long, uid long, run long"
 _SCANNED = "kind int, uid long, run long, r1 long"
 REPEATED, LEFT = 1, 0
@@ -197,6 +197,9 @@ def _pieces(runs: DataFrame, length: int, width: int) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """(uid, run): runs of windows whose bytes also start earlier; docs has uid (unique, ordered) and text."""
+    if not 1 <= length < 1 << _COUNT:
+        raise ValueError(f"length must lie between 1 and {(1 << _COUNT) - 1}")
+    gram, widths = min(gram, length), tuple(w for w in widths if w <= length)
     bounded_batches(docs.sparkSession)
     found = _round(_first_ranks(docs, length, gram), "round")
     results = [found.where(F.col("kind") == REPEATED).select("uid", "run")]
@@ -238,47 +241,75 @@ FIELDS = [
 ]
 
 
-def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, **options) -> DataFrame:
-    """df with n_bytes, removed (maximal byte spans) and kept (the other bytes, concatenated)."""
+SPANS = FIELDS[1].dataType
+
+
+def _merged(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal spans of spans sorted by their starts."""
+    stop = np.maximum.accumulate(stop)
+    new = np.ones(len(first), bool)
+    new[1:] = first[1:] > stop[:-1]
+    return first[new], stop[np.append(np.flatnonzero(new)[1:] - 1, len(stop) - 1)]
+
+
+def _without(a: np.ndarray, z: np.ndarray, stay: list[dict], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The spans less the bytes that stay."""
+    gone = np.zeros(size + 2, np.int8)
+    for x, y in zip(a.tolist(), z.tolist()):
+        gone[x + 1 : y + 1] = 1
+    for s in stay:
+        gone[max(s["start"], 0) + 1 : max(s["stop"], 0) + 1] = 0
+    gone[-1] = 0
+    edges = np.flatnonzero(np.diff(gone))
+    return edges[::2], edges[1::2]
+
+
+def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, spare: Callable[[DataFrame], DataFrame] | None = None, **options) -> DataFrame:
+    """df with n_bytes, removed (maximal byte spans) and kept (the other bytes, concatenated).
+
+    spare: adds ``spared`` to a DataFrame with a column ``text``: byte spans (start, stop) that stay although they repeat.
+    """
     taken = {f.name for f in FIELDS}
-    df = df.select(*[df[f"`{c}`"] for c in df.columns if c not in taken or c in (id_col, text_col)])
-    own, docs = _numbered(df, id_col, text_col)
-    runs = repeated_windows(docs, length, **options).groupBy("uid").agg(F.collect_list("run").alias("__runs"))
-    joined = own.join(runs, "uid", "left").drop("uid")
-    kept = [c for c in df.columns if c not in taken]
-    at = joined.columns.index("__text"), joined.columns.index("__runs")
-    carry = [joined.columns.index(c) for c in kept]
+    columns = [c for c in df.columns if c not in taken or c in (id_col, text_col)]
+    rows = packed(df.select(*[df[f"`{c}`"] for c in columns]), text_col)
+    own, docs = _numbered(rows.withColumn("__of", F.col(f"__row.`{id_col}`")), "__of", "text")
+    runs = repeated_windows(docs, length, **options).groupBy("uid").agg(F.collect_list("run").alias("runs"))
+    own = own.select("uid", "__row", "text")
+    own = spare(own) if spare else own.withColumn("spared", F.lit(None).cast(SPANS))
+    joined = own.join(runs, "uid", "left").select("__row", "text", "spared", "runs")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                texts, sizes, spans, rest = part.column(at[0]).cast(pa.binary()), [], [], []
+                texts, sizes, spans, rest = part.column(1).cast(pa.binary()), [], [], []
                 for i in range(part.num_rows):
-                    text, own_runs = texts[i].as_py(), part.column(at[1])[i]
+                    text, own_runs = texts[i].as_py() or b"", part.column(3)[i]
                     sizes.append(len(text))
                     if not own_runs.is_valid:
                         spans.append([])
                         rest.append(text)
                         continue
                     first, count, _ = _unpack(np.sort(own_runs.values.to_numpy()))
-                    stop = np.maximum.accumulate(first + count - 1 + length)
-                    new = np.ones(len(first), bool)
-                    new[1:] = first[1:] > stop[:-1]
-                    a, z = first[new], stop[np.append(np.flatnonzero(new)[1:] - 1, len(stop) - 1)]
+                    a, z = _merged(first, first + count - 1 + length)
+                    if stay := part.column(2)[i].as_py():
+                        a, z = _without(a, z, stay, len(text))
                     spans.append([{"start": x, "stop": y} for x, y in zip(a.tolist(), z.tolist())])
                     edges = [0, *np.stack([a, z], 1).ravel().tolist(), len(text)]
                     rest.append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])))
                 made = [pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), pa.array(rest, pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in carry] + made, [*kept, *(f.name for f in FIELDS)])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)] + made, ["__row", "text", *(f.name for f in FIELDS)])
 
-    return joined.mapInArrow(work, T.StructType([joined.schema[c] for c in kept] + FIELDS))
+    found = joined.mapInArrow(work, T.StructType([joined.schema["__row"], joined.schema["text"]] + FIELDS))
+    own_columns = [(F.col("text") if c == text_col else F.col(f"__row.`{c}`")).alias(c) for c in columns]
+    return found.select(*own_columns, *[f.name for f in FIELDS if f.name not in columns])
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """df's rows and columns with the repeated bytes cut out of the text; bytes of a character that is cut through go too."""
-    found = remaining(df.withColumn("__null", F.col(text_col).isNull()), id_col, text_col, **options)
-    return found.withColumn(text_col, whole_characters(F.col("kept"), F.col("__null"))).select(*df.columns)
+    rows = packed(df, text_col).withColumn("id", F.col(f"__row.`{id_col}`"))
+    found = remaining(rows, "id", "text", **options)
+    return unpacked(found, df.columns, text_col, whole_characters(F.col("kept"), F.col("text").isNull()))
 
 
 def whole_characters(kept: F.Column, null: F.Column) -> F.Column:

@@ -29,7 +29,7 @@ def brute(rows, length):
 
 
 def check(spark, rows, length, **options):
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS uid0", "'k' AS kept", "2 AS removed")
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS uid", "'k' AS kept", "2 AS removed", "3 AS runs", "4 AS spared", "5 AS __row")
     got = suffixdedup.remaining(df, length=length, **options).collect()
     want = brute(rows, length)
     assert len(got) == len(rows)
@@ -72,14 +72,34 @@ def test_stream_goes_over_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("length", [1, 9, 20, 300, 500])
+def test_other_lengths(spark, length):
+    check(spark, texts(6, 40) + [(900, "ab" * 900), (901, "xy" + "ab" * 700)], length)
+
+
+def test_too_long(spark):
+    with pytest.raises(ValueError):
+        suffixdedup.remaining(spark.createDataFrame([(1, "a")], "doc_id long, text string"), length=5000)
+
+
+def test_spared_bytes_stay(spark):
+    text = "".join(f"{k}é " for k in range(120))
+    df = spark.createDataFrame([(1, text), (2, text), (3, text[:200])], "doc_id long, text string")
+    spare = lambda rows: rows.selectExpr("*", "if(uid = 2, array(named_struct('start', -1L, 'stop', 5L), named_struct('start', 150L, 'stop', 180L)), null) AS spared")
+    raw = text.encode()
+    got = {r.doc_id: (bytes(r.kept), [tuple(x) for x in r.removed]) for r in suffixdedup.remaining(df, spare=spare).collect()}
+    assert got == {1: (raw, []), 2: (raw[:5] + raw[150:180], [(5, 150), (180, len(raw))]), 3: (b"", [(0, len(text[:200].encode()))])}
+
+
 def test_empty(spark):
     assert suffixdedup.remaining(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
 def test_dedup_keeps_columns(spark):
     text = "".join(f"{k}é " for k in range(80))
-    df = spark.createDataFrame([(1, text, "en"), (2, text, None), (3, None, "de")], "doc_id long, text string, lang string")
+    df = spark.createDataFrame([(1, text, "en"), (2, text, None), (3, None, "de")], "doc_id long, text string, lang string").selectExpr("1 AS uid", "*", "2 AS kept", "3 AS removed", "4 AS n_bytes", "5 AS id")
     got = suffixdedup.dedup(df)
+    assert {tuple(r)[-4:] for r in got.collect()} == {(2, 3, 4, 5)}
     assert got.columns == df.columns and {r.doc_id: r.text for r in got.collect()} == {1: text, 2: "", 3: None}
 
 
