@@ -6,8 +6,11 @@ turn the two tokens' symbols into just these two). So each prefix of a word has
 the last tokens of shorter prefixes, and the encoding of a word is the chain of last tokens back from its
 end. A later symbol can reach back over at most the longest token (``Merges.lookahead`` symbols), so
 tokens are final once the chains of the last ``lookahead`` prefixes have met; they are emitted then, and
-the state holds only the prefixes after that point. Texts are cut into words first, as the tokenizer
-file says: special tokens, NFC, white space, lower case, then its split pattern.
+the state holds only the prefixes after that point. The lookahead is computed from the merge list. Every word
+goes through the transducer; the ids of short words are kept for the next time, in a cache of fixed size. Texts
+are cut into words first, as the tokenizer file says: special tokens, NFC, white space, lower case, then its split
+pattern, in parts of ``PART`` characters, so beside a row's text and its ids the state doesn't grow with the text (a
+stretch without a space is one part).
 
 Decoding. ``SurfaceDecoder`` gives what the library's ``decode`` gives for a file without a decoder: the
 token strings with a space between them. ``TextDecoder`` is a byte machine: token characters become bytes,
@@ -40,16 +43,20 @@ END = "</w>"
 _SPACE = r"\t-\r \x85\xa0  -     　"
 #: Code points that this regex module counts as letters and the tokenizer's pattern engine, at Unicode 16, doesn't.
 _LATER = "558-558 58b-58c 88f-88f c5c-c5c cdc-cdc 208f-208f 209d-209f a7ce-a7cf a7d2-a7d2 a7d4-a7d4 a7dd-a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10eee 11b0a-11b0a 11db0-11df1 16ea0-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda 18d09-191d2 1b123-1b128 1b168-1b168 1d6a6-1d6a6 1df1f-1df24 1df2b-1dfff 1e6c0-1e6ff 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-3fc3f"
-_NOT_LETTERS = "".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in (x.split("-") for x in _LATER.split()))
+#: The same for numbers.
+_LATER_NUMBERS = "1246f-1246f 12475-1247f 12550-12686 16ff4-16ff6"
+_NOT_LETTERS, _NOT_NUMBERS = ("".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}" for a, b in (x.split("-") for x in later.split())) for later in (_LATER, _LATER_NUMBERS))
 _LETTER = rf"[\p{{L}}--[{_NOT_LETTERS}]]"
 #: Words are tried first, those of plain Latin letters by a class that the engine tests quickly; an apostrophe starts no word.
 _SPLIT_ASCII = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9]+")
-_SPLIT = regex.compile(rf"[a-zß-öø-ÿ]+(?!\p{{L}})|{_LETTER}+|'(?:s|t|re|ve|m|ll|d)|\p{{N}}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_NOT_LETTERS}]]+", regex.V1)
+_SPLIT = regex.compile(rf"[a-zß-öø-ÿ]+(?!\p{{L}})|{_LETTER}+|'(?:s|t|re|ve|m|ll|d)|[\p{{N}}--[{_NOT_NUMBERS}]]|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_NOT_LETTERS}{_NOT_NUMBERS}]]+", regex.V1)
 #: Capitals of Unicode 16 and 17 whose small letters Python's own tables lack.
 _LOWER_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 _CAPITAL_LATER = regex.compile("[" + "".join(map(chr, _LOWER_LATER)) + "]")
 #: Words whose encoding is kept in each of two generations, and pairs whose fit is kept, for one Python worker.
 KEPT_WORDS, KEPT_PAIRS = 150_000, 200_000
+#: Characters that are normalised and split together, and ids that are decoded together.
+PART = 1 << 16
 
 
 def byte_alphabet() -> list[str]:
@@ -79,8 +86,12 @@ class Merges:
         for token, i in [*vocab.items(), *special.items()]:
             self.tokens[i] = token
         length = lambda token: len(token) - len(END) * token.endswith(END)
-        #: A symbol after a token's end can change tokens that lie at most so many symbols back.
-        self.lookahead = max(length(t) for t in vocab)
+        made: dict[str, int] = {}
+        for a, b in self.rank:
+            made[a + b] = made.get(a, 1) + made.get(b, 1)
+        #: Symbols that the widest merge spans. Every encoding has a token boundary in any so many neighbouring places, so
+        #: a symbol can change no token that ends further back than that.
+        self.lookahead = max(made.values(), default=1)
         self.tails = {t[i:] for t in vocab for i in range(length(t))}
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
@@ -198,26 +209,29 @@ class WordEncoder:
         return out
 
 
+def parts(text: str, size: int = PART) -> Iterator[str]:
+    """A text in parts of ``size`` characters and up to the next space: neither NFC nor a word reaches over a space."""
+    at = 0
+    while len(text) - at > size and (cut := text.find(" ", at + size)) >= 0:
+        yield text[at:cut]
+        at = cut
+    yield text[at:] if at else text
+
+
 class Encoder:
     def __init__(self, merges: Merges):
-        self.m = merges
+        self.m, self.transducer = merges, WordEncoder(merges)
         #: Two generations of known words: when the young one is full it becomes the old one, so words in use stay.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks = regex.compile("|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True)))) if merges.special else None
 
     def word(self, word: str) -> Iterator[int]:
-        """A word that ends within the lookahead is merged where it stands in the window; a longer one is streamed."""
+        """The ids of a word, streamed through the transducer."""
         raw = word if word.isascii() else word.encode("utf-8", "surrogatepass").decode("latin-1")
         raw = raw.translate(_TO_ALPHABET)
-        if len(raw) <= self.m.lookahead:
-            return map(self.m.vocab.__getitem__, self.m.merged([*raw[:-1], raw[-1] + END]))
-        return self._streamed(raw)
-
-    def _streamed(self, raw: str) -> Iterator[int]:
-        encoder = WordEncoder(self.m)
-        yield from encoder.feed(raw[:-1])
-        yield from encoder.finish(raw[-1])
+        yield from self.transducer.feed(raw[:-1])
+        yield from self.transducer.finish(raw[-1])
 
     def _kept(self, word: str) -> bytes:
         made = self.words.get(word) or self.older.get(word) or array("i", self.word(word)).tobytes()
@@ -231,10 +245,12 @@ class Encoder:
         """The ids of a text as int32 bytes, in pieces."""
         at = 0
         for mark in self.marks.finditer(text) if self.marks and "<" in text else ():
-            yield from self._plain(text[at : mark.start()])
+            for part in parts(text[at : mark.start()]):
+                yield from self._plain(part)
             yield np.int32(self.m.special[mark[0]]).tobytes()
             at = mark.end()
-        yield from self._plain(text[at:] if at else text)
+        for part in parts(text[at:] if at else text):
+            yield from self._plain(part)
 
     def _plain(self, text: str) -> list[bytes]:
         known, kept = self.words.get, self._kept
@@ -331,7 +347,12 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded",
             machine = machine or (SurfaceDecoder if surface else TextDecoder)(load(path).m)
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                texts = [machine.feed(x or []) + machine.finish() for x in part.column(at).to_pylist()]
+                values = part.column(at).flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(part.column(at)), 0).to_numpy()).tolist()
+                texts = []
+                for low, high in zip([0, *ends], ends):
+                    pieces = [machine.feed(values[a : min(a + PART, high)].tolist()) for a in range(low, high, PART)]
+                    texts.append("".join(pieces) + machine.finish())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*kept, out])
 
     return df.select(*[df[f"`{c}`"] for c in kept]).mapInArrow(work, schema)
