@@ -8,10 +8,12 @@ log P(language | all) = log P(language | host) + temper * log P(text | language)
   most ``FULL`` trigrams' worth of weight, the mean over the whole text standing for longer ones.
 * Declared: the lang attribute of the html tag. Suffix: the last label of the host's name. Both likelihoods are
   counted over all rows by the language that the text alone gives, with added mass for agreement.
-* Host: what the text alone gives for the host's other rows (a row's own vote is taken out), smoothed towards the
-  registered domain's, that towards the suffix's, and that towards all rows': each level adds ``SMOOTH``
-  votes spread like the level above. Votes are counted by (level, language), so a host with a third
-  of all rows is summed before the shuffle and read back as one row.
+* Host: what the text alone gives for the host's other rows, smoothed towards the registered domain's, and that
+  towards all rows': each level adds ``SMOOTH`` votes spread like the level above. The suffix is evidence of its
+  own and no level of this. Votes are counted by (level, language), so a host with a third of all rows is summed
+  before the shuffle; the sums come back broadcast up to a checked number of hosts, else by a salted join.
+
+A row's own vote is taken out of all counts that judge it.
 
 Tables that are broadcast hold languages times cells; beyond ``MOST_LANGUAGES`` tasks count cells sparsely.
 
@@ -39,19 +41,33 @@ TABLE_BITS, MOST_LANGUAGES = 14, 256
 TEMPER, FULL, SMOOTH = 0.3, 200, 4.0
 AGREES, ADDED = 8.0, 0.5
 
-_HIDDEN = re.compile(rb"<!--.*?-->|<(script|style|nav)\b.*?</\1\s*>", re.S | re.I)
-_TAG = re.compile(rb"<[^>]*>")
-_LANG = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_OPENS = re.compile(rb"<!--|<(script|style|nav)\b", re.I)
+_CLOSES = {b"": re.compile(rb"-->"), **{k: re.compile(rb"</" + k + rb"\s*>", re.I) for k in (b"script", b"style", b"nav")}}
+_TAG = re.compile(rb"<[^<>]*>")
+_ROOT = re.compile(rb"<html\b[^<>]*>", re.I)
+_LANG = re.compile(rb"\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
 
 
 def visible(page: bytes) -> bytes:
-    """What a page shows: no comments, scripts, styles, navigation or tags; entities resolved."""
-    text = _TAG.sub(b" ", _HIDDEN.sub(b" ", page))
+    """What a page shows: no comments, scripts, styles, navigation or tags; entities resolved. Reads a page once, however broken it is."""
+    shown, at, place, unclosed = [], 0, 0, set()
+    while found := _OPENS.search(page, place):
+        kind, place = (found[1] or b"").lower(), found.end()
+        if kind in unclosed:
+            continue
+        end = _CLOSES[kind].search(page, place)
+        if not end:
+            unclosed.add(kind)
+            continue
+        shown.append(page[at : found.start()])
+        at = place = end.end()
+    text = _TAG.sub(b" ", b" ".join([*shown, page[at:]]))
     return html.unescape(text.decode("utf-8", "replace")).encode() if b"&" in text else text
 
 
 def declared_language(page: bytes) -> str | None:
-    found = _LANG.search(page)
+    root = _ROOT.search(page)
+    found = _LANG.search(root[0]) if root else None
     return found[1].decode().lower() if found else None
 
 
@@ -130,8 +146,19 @@ def _share(votes: DataFrame, name: str, langs: int) -> DataFrame:
     return counted.groupBy(name).agg(*[F.coalesce(F.sum(F.when(F.col("vote") == k, F.col("n"))), F.lit(0)).cast("double").alias(f"v{k}") for k in range(langs)]).select(name, F.array(*[f"v{k}" for k in range(langs)]).alias(f"{name}_votes"))
 
 
-def fuse(rows: DataFrame, langs: list[str]) -> DataFrame:
-    """rows (declared, evidence, host, domain, suffix) with text_lang, lang and probability."""
+def _joined(rows: DataFrame, votes: DataFrame, name: str, broadcast_rows: int = 200_000, salts: int = 64) -> DataFrame:
+    """rows with the votes of their value of a column. Up to ``broadcast_rows`` values are broadcast; more are joined with
+    a salt, so that a value with a third of all rows is dealt over ``salts`` tasks."""
+    votes = written(votes, "votes")
+    if votes.count() <= broadcast_rows:
+        return rows.join(F.broadcast(votes), name, "left")
+    salted = votes.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    return dealt.join(salted, [name, "__salt"], "left").drop("__salt")
+
+
+def fuse(rows: DataFrame, langs: list[str], broadcast_rows: int = 200_000) -> DataFrame:
+    """rows (declared, evidence, host, domain, suffix; of a written table) with text_lang, lang and probability."""
     n = len(langs)
     if not n:
         return rows.select("*", F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"))
@@ -140,24 +167,25 @@ def fuse(rows: DataFrame, langs: list[str]) -> DataFrame:
     # an empty text votes for none
     spoken = F.array_max("evidence") < 0
     rows = rows.withColumn("declared", F.when(F.array_contains(codes, F.col("declared")), F.col("declared"))).withColumn("vote", F.when(spoken, best(F.col("evidence"))))
-    zero = F.array(*[F.lit(0.0)] * n)
-    for name in ("host", "domain", "suffix", "declared"):
-        rows = rows.join(_share(rows, name, n), name, "left").withColumn(f"{name}_votes", F.coalesce(f"{name}_votes", zero))
+    zero = F.array_repeat(F.lit(0.0), n)
     total = dict(rows.where("vote IS NOT NULL").groupBy("vote").count().collect())
-    all_votes = F.array(*[F.lit(float(total.get(k, 0))) for k in range(n)])
     mine = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.when(k == F.col("vote"), 1.0).otherwise(0.0))
-    add = lambda a, b, f: F.zip_with(a, b, f)
+    less = lambda a, b: F.zip_with(a, b, lambda v, m: F.greatest(v - m, F.lit(0.0)))
+    for name in ("host", "domain", "suffix", "declared"):
+        rows = _joined(rows, _share(rows, name, n), name, broadcast_rows)
+        # a row's own vote is no evidence about it
+        rows = rows.withColumn(f"{name}_votes", F.when(F.col(f"{name}_votes").isNotNull(), less(F.col(f"{name}_votes"), mine)).otherwise(zero))
+    counts = F.array(*[F.lit(float(total.get(k, 0))) for k in range(n)])
     whole = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    prior = F.transform(all_votes, lambda x: (x + F.lit(1.0)) / F.lit(float(sum(total.values()) + n)))
-    for name in ("suffix", "domain", "host"):
-        known = F.when(F.col(name).isNotNull(), mine).otherwise(zero)
-        others = add(F.col(f"{name}_votes"), known, lambda v, m: F.greatest(v - m, F.lit(0.0)))
-        rows = rows.withColumn("__prior", prior).withColumn("__others", others).withColumn("__sum", whole(F.col("__others")))
-        rows = rows.withColumn(f"{name}_prior", add(F.col("__others"), F.col("__prior"), lambda v, p: (v + F.lit(SMOOTH) * p) / (F.col("__sum") + F.lit(SMOOTH))))
+    rows = rows.withColumn("__all", less(counts, mine))
+    prior = F.transform("__all", lambda x: (x + F.lit(1.0)) / (whole(F.col("__all")) + F.lit(float(n))))
+    for name in ("domain", "host"):
+        rows = rows.withColumn("__prior", prior).withColumn("__sum", whole(F.col(f"{name}_votes")))
+        rows = rows.withColumn(f"{name}_prior", F.zip_with(F.col(f"{name}_votes"), F.col("__prior"), lambda v, p: (v + F.lit(SMOOTH) * p) / (F.col("__sum") + F.lit(SMOOTH))))
         prior = F.col(f"{name}_prior")
     # P(value | language): votes of the value's rows over the language's votes, with mass for agreement of a declaration
-    likely = F.transform(F.arrays_zip(F.col("declared_votes").alias("v"), all_votes.alias("t"), codes.alias("c")), lambda s: F.when(F.col("declared").isNull(), 0.0).otherwise(F.log((s["v"] + F.when(s["c"] == F.col("declared"), AGREES).otherwise(ADDED)) / (s["t"] + AGREES + ADDED * n))))
-    by_suffix = F.transform(F.arrays_zip(F.col("suffix_votes").alias("v"), all_votes.alias("t")), lambda s: F.when(F.col("suffix").isNull(), 0.0).otherwise(F.log((s["v"] + ADDED) / (s["t"] + 1.0 + ADDED * n))))
+    likely = F.transform(F.arrays_zip(F.col("declared_votes").alias("v"), F.col("__all").alias("t"), codes.alias("c")), lambda s: F.when(F.col("declared").isNull(), 0.0).otherwise(F.log((s["v"] + F.when(s["c"] == F.col("declared"), AGREES).otherwise(ADDED)) / (s["t"] + AGREES + ADDED * n))))
+    by_suffix = F.transform(F.arrays_zip(F.col("suffix_votes").alias("v"), F.col("__all").alias("t")), lambda s: F.when(F.col("suffix").isNull(), 0.0).otherwise(F.log((s["v"] + ADDED) / (s["t"] + 1.0 + ADDED * n))))
     rows = rows.withColumn("__declared", likely).withColumn("__suffix", by_suffix)
     logs = F.transform(F.arrays_zip(F.col("evidence").alias("e"), F.col("host_prior").alias("p"), F.col("__declared").alias("d"), F.col("__suffix").alias("s")), lambda x: x["e"] + F.log(x["p"]) + x["d"] + x["s"])
     rows = rows.withColumn("__logs", logs).withColumn("__top", F.array_max("__logs"))

@@ -1,7 +1,9 @@
 import math
+import time
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tallyframe.llm import langid
 from tallyframe.llm.queries_scores import op1_language_id
@@ -20,28 +22,31 @@ def test_query(spark):
     assert np.mean([r.lang == pages[r.page_id] for r in rows if r.page_id is not None]) > 0.9
 
 
-def test_fusion_against_plain_arithmetic(spark):
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_fusion_against_plain_arithmetic(spark, broadcast_rows):
     langs = ["de", "en", "fr"]
     r = np.random.default_rng(4)
     rows = [(i, [None, "de", "en", "xx"][r.integers(4)], [float(x) for x in -r.random(3) * 3], h, d, s) for i in range(60) for h, d, s in [[("a.x.de", "x.de", "de"), ("b.x.de", "x.de", "de"), ("c.y.com", "y.com", "com"), (None, None, None)][r.integers(4)]]]
     rows.append((99, None, [0.0, 0.0, 0.0], "a.x.de", "x.de", "de"))
     df = spark.createDataFrame(rows, "id long, declared string, evidence array<double>, host string, domain string, suffix string")
-    got = {x.id: x for x in langid.fuse(df, langs).collect()}
+    got = {x.id: x for x in langid.fuse(df, langs, broadcast_rows).collect()}
     vote = {x[0]: int(np.argmax(x[2])) if max(x[2]) < 0 else None for x in rows}
     level = {k: Counter((x[3 + k], vote[x[0]]) for x in rows if x[3 + k]) for k in range(3)}
     total = Counter(v for v in vote.values() if v is not None)
     for i, declared, evidence, *names in rows:
-        prior = [(total[k] + 1) / (sum(total.values()) + 3) for k in range(3)]
-        for at in (2, 1, 0):
-            votes = [max(level[at][names[at], k] - (vote[i] == k), 0) if names[at] else 0 for k in range(3)]
+        own = [int(vote[i] == k) for k in range(3)]
+        every = [total[k] - own[k] for k in range(3)]
+        prior = [(every[k] + 1) / (sum(every) + 3) for k in range(3)]
+        for at in (1, 0):
+            votes = [max(level[at][names[at], k] - own[k], 0) if names[at] else 0 for k in range(3)]
             prior = [(v + langid.SMOOTH * p) / (sum(votes) + langid.SMOOTH) for v, p in zip(votes, prior)]
         known = declared if declared in langs else None
         said = Counter((x[1], vote[x[0]]) for x in rows if x[1] == known)
         logs = [evidence[k] + math.log(prior[k]) for k in range(3)]
         if known:
-            logs = [x + math.log((said[known, k] + (langid.AGREES if langs[k] == known else langid.ADDED)) / (total[k] + langid.AGREES + 1.5)) for k, x in enumerate(logs)]
+            logs = [x + math.log((said[known, k] - own[k] + (langid.AGREES if langs[k] == known else langid.ADDED)) / (every[k] + langid.AGREES + 1.5)) for k, x in enumerate(logs)]
         if names[2]:
-            logs = [x + math.log((level[2][names[2], k] + langid.ADDED) / (total[k] + 1 + 1.5)) for k, x in enumerate(logs)]
+            logs = [x + math.log((level[2][names[2], k] - own[k] + langid.ADDED) / (every[k] + 1 + 1.5)) for k, x in enumerate(logs)]
         best = int(np.argmax(logs))
         assert got[i].lang == langs[best]
         assert abs(got[i].probability - 1 / sum(math.exp(x - logs[best]) for x in logs)) < 1e-9
@@ -53,6 +58,13 @@ def test_pages():
     assert langid.declared_language(b"<p lang=de>") is None
 
 
+@pytest.mark.parametrize("page", [b"<nav>" * 200_000, b"<" * 1_000_000, b"<!--" * 250_000, b"<html " * 150_000, b"<script>x</script" * 60_000])
+def test_hostile_pages_take_no_longer(page):
+    began = time.time()
+    langid.visible(page), langid.declared_language(page)
+    assert time.time() - began < 10
+
+
 def test_cases(spark):
     docs = spark.createDataFrame([(1, "the cat and the dog", "en", "s", 1), (2, "der hund und die katze", "de", "s", 1), (3, None, None, None, 1), (4, "", "en", "s", 1), (4, "", "en", "s", 1), (5, "and the " * 50000, None, "t", 1)], "doc_id long, text string, lang string, source string, host int")
     pages = spark.createDataFrame([(1, None, None, 1), (2, "https://u@www.a.de:80/x", "<html lang=de>der hund", 1), (3, "nonsense", "", 1)], "page_id long, url string, html string, declared int")
