@@ -29,17 +29,22 @@ from tallyframe.llm.bytewords import FOLD_TABLE
 
 WINDOW, TOXIC_BYTES, BASE_BYTES, MIN_MATCH = 8, 1024, 2048, 6
 LEAST_RATIO, LEAST_TEXTS = 8.0, 4
+#: Bytes of a word beyond which it counts as several, so that a window never pushes the dictionary out of the compressor's reach.
+LONG_WORD = 40
 
 
 def _words(text: bytes) -> list[bytes]:
-    return text.translate(FOLD_TABLE).split()
+    words = text.translate(FOLD_TABLE).split()
+    if len(text) > LONG_WORD and words and len(max(words, key=len)) > LONG_WORD:
+        return [w[a : a + LONG_WORD] for w in words for a in range(0, len(w), LONG_WORD)]
+    return words
 
 
 def _starts(words: list[bytes]) -> set[bytes]:
     """The beginnings of words, five bytes or more, with the space before and the one after a whole word."""
     out = set()
     for w in set(words):
-        b = b" " + w[:40] + b" "
+        b = b" " + w + b" "
         out.update(b[:n] for n in range(5, len(b) + 1))
     return out
 
