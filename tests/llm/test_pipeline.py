@@ -3,7 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from tallyframe.llm import bpe
+from tallyframe.llm import bpe, decontaminate
 from tallyframe.llm.queries_text import tokenizer_path
 from tests.llm import test_dartminhash, test_decontaminate, test_suffixdedup
 
@@ -41,14 +41,45 @@ def test_near_duplicates_by_all_pairs(stages):
     assert sorted(i for i, _ in rows(stages[2])) == sorted(set(want.values()))
 
 
-def test_repeated_passages_by_brute_force(stages):
-    want = {i: v[2].decode("utf-8", "ignore") for (i, _), v in test_suffixdedup.brute(rows(stages[2]), 100).items()}
+@pytest.fixture(scope="module")
+def items(spark):
+    return [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+
+
+def spared(text, items, window=13):
+    """The bytes of benchmark windows, one more on either side."""
+    places = [m.span() for m in test_decontaminate.WORD.finditer(text.translate(test_decontaminate.LOW))]
+    doc, stay = test_decontaminate.words(text), set()
+    for _, body in items:
+        w = test_decontaminate.words(body)
+        for i in range(max(len(w) - window + 1, 1) if w else 0):
+            part = w[i : i + window]
+            for at in range(len(doc) - len(part) + 1):
+                if doc[at] == part[0] and doc[at : at + len(part)] == part:
+                    a, z = (len(text[:c].encode()) for c in (places[at][0], places[at + len(part) - 1][1]))
+                    stay.update(range(a - 1, z + 1))
+    return stay
+
+
+def test_repeated_passages_by_brute_force(stages, items):
+    want = {}
+    for (i, text), (_, spans, kept) in test_suffixdedup.brute(rows(stages[2]), 100).items():
+        if spans and test_decontaminate.brute(text, items)[3]:
+            stay = spared(text, items)
+            gone = {p for a, z in spans for p in range(a, z)} - stay
+            kept = bytes(b for p, b in enumerate(text.encode()) if p not in gone)
+        want[i] = kept.decode("utf-8", "ignore")
     assert dict(rows(stages[3])) == want
     assert all(r.n_chars == len(r.text) for r in stages[3].collect())
 
 
-def test_contamination_by_brute_force(spark, stages):
-    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+def test_planted_windows_of_the_input_go(spark, stages):
+    judged = decontaminate.judged(stages[2].select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    flagged = {r.doc_id for r in judged.collect() if r.contaminated}
+    assert flagged and not flagged & {i for i, _ in rows(stages[4])}
+
+
+def test_contamination_by_brute_force(stages, items):
     kept = {i for i, _ in rows(stages[4])}
     before = rows(stages[3])
     chosen = [x for x in before if x[0] not in kept] + random.Random(3).sample(before, 25)
@@ -79,7 +110,13 @@ def test_empty_documents(spark):
 
 
 def test_extra_columns_pass(spark):
-    docs = spark.createDataFrame([(1, "alpha beta", "en", "s", 10, 5, None), (2, None, None, None, None, 6, "x")], "doc_id long, text string, lang string, source string, n_chars long, score int, bands string")
-    for name, stage in corpus_pipeline.STAGES[1:-1]:
+    docs = spark.createDataFrame([(1, "alpha beta", "en", "s", 10, 5, None), (2, None, None, None, None, 6, "x"), (None, "gamma", None, None, 5, 7, "y")], "doc_id long, text string, lang string, source string, n_chars long, score int, bands string")
+    docs = docs.selectExpr("*", "1 AS uid", "2 AS kept", "3 AS n_hit", "4 AS ids", "5 AS decoded", "6 AS n_words", "7 AS __row")
+    for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, docs, SF)
-        assert got.columns == docs.columns and {r.score for r in got.collect()} == {5, 6}, name
+        if name == "tokens":
+            assert sorted(r.decoded for r in got.collect()) == ["", "alpha beta ", "gamma "]
+            continue
+        assert got.columns == docs.columns
+        if name != "quality":
+            assert {r.score for r in got.collect()} == {5, 6, 7}, name
