@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from tallyframe.llm import bpe, dartminhash, decontaminate, labelled, mil, suffixdedup
 from tallyframe.llm.queries_scores import KEEP_QUALITY, QUALITY_ROWS
 from tallyframe.llm.queries_text import tokenizer_path
-from tallyframe.llm.shared import table, written
+from tallyframe.llm.shared import packed, table, unpacked, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model scores ``KEEP_QUALITY`` or more; it learns from labels outside the held-out fold."""
     model = mil.fitted(labelled.sample(docs, table(spark, sf_dir, "labels"), "quality", QUALITY_ROWS))
-    return mil.score_quality(docs.withColumn("__row", F.struct(*docs.columns)), model, attention=False).where(F.col("score") >= KEEP_QUALITY).select("__row.*")
+    return unpacked(mil.score_quality(packed(docs), model, attention=False).where(F.col("score") >= KEEP_QUALITY), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without bytes that a 100-byte string covers which also starts earlier; n_chars follows the text."""
-    found = suffixdedup.dedup(docs)
+    """All documents, without bytes that a 100-byte string covers which also starts earlier; n_chars follows the text.
+
+    In documents that benchmark windows cover to a twentieth, these windows stay, with the byte on either side: they are
+    what the next stage knows such documents by, and it drops them whole.
+    """
+    benchmark = table(spark, sf_dir, "benchmark")
+
+    def spare(rows: DataFrame) -> DataFrame:
+        found = decontaminate.judged(rows, benchmark)
+        around = F.transform("spans", lambda s: F.struct((s["begin"] - 1).alias("start"), (s["end"] + 1).alias("stop")))
+        return found.select(*rows.columns, F.when(F.col("contaminated"), around).alias("spared"))
+
+    found = suffixdedup.dedup(docs, spare=spare)
     return found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
 
 
