@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyframe.llm.bytewords import BATCH_BYTES, sub_batches
+from tallyframe.llm.bytewords import BATCH_BYTES, released_memory, sub_batches
 from tallyframe.llm.shared import bounded_batches
 
 #: Takes texts as bytes, gives a list of values for each added column.
@@ -21,7 +21,7 @@ def with_text_columns(df: DataFrame, text_col: str, fields: list[T.StructField],
 
     A null text counts as empty. Columns of df that have the name of an added one are replaced.
     No row is dropped and nothing is shuffled; a task holds one Arrow batch and ``batch_bytes`` of
-    texts (or a single longer text) at a time.
+    texts (or a single longer text) at a time. A function with an attribute ``close`` has that called at the task's end.
     """
     bounded_batches(df.sparkSession)
     added = {f.name for f in fields}
@@ -40,6 +40,9 @@ def with_text_columns(df: DataFrame, text_col: str, fields: list[T.StructField],
                 part = batch.slice(first, len(texts))
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(compute(texts), types)]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in carry] + made, names)
+        if compute is not None:
+            getattr(compute, "close", bool)()
+        released_memory()
 
     schema = T.StructType([f for f in kept if f.name not in added] + list(fields))
     return df.select(*[df[f"`{f.name}`"] for f in kept]).mapInArrow(work, schema)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallyframe.llm.arrowmap import with_text_columns
+from tallyframe.llm.bytewords import released_memory
 
 END = "</w>"
 #: White space as the tokenizer's pattern engine has it: U+001C to U+001F are not.
@@ -49,12 +50,15 @@ _NOT_LETTERS, _NOT_NUMBERS = ("".join(f"\\U{int(a, 16):08x}-\\U{int(b, 16):08x}"
 _LETTER = rf"[\p{{L}}--[{_NOT_LETTERS}]]"
 #: Words are tried first, those of plain Latin letters by a class that the engine tests quickly; an apostrophe starts no word.
 _SPLIT_ASCII = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9]+")
+#: Texts of Latin-1 and common punctuation alone are in normal form, and the same split is written with Python's own engine.
+_WESTERN = re.compile(r"[\x00-\xff\u2010-\u2027\u20ac]*")
+_SPLIT_WESTERN = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 _SPLIT = regex.compile(rf"[a-zß-öø-ÿ]+(?!\p{{L}})|{_LETTER}+|'(?:s|t|re|ve|m|ll|d)|[\p{{N}}--[{_NOT_NUMBERS}]]|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_NOT_LETTERS}{_NOT_NUMBERS}]]+", regex.V1)
 #: Capitals of Unicode 16 and 17 whose small letters Python's own tables lack.
 _LOWER_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 _CAPITAL_LATER = regex.compile("[" + "".join(map(chr, _LOWER_LATER)) + "]")
 #: Words whose encoding is kept in each of two generations, and pairs whose fit is kept, for one Python worker.
-KEPT_WORDS, KEPT_PAIRS = 150_000, 200_000
+KEPT_WORDS, KEPT_PAIRS = 100_000, 100_000
 #: Characters that are normalised and split together, and ids that are decoded together.
 PART = 1 << 16
 
@@ -86,13 +90,18 @@ class Merges:
         for token, i in [*vocab.items(), *special.items()]:
             self.tokens[i] = token
         length = lambda token: len(token) - len(END) * token.endswith(END)
-        made: dict[str, int] = {}
-        for a, b in self.rank:
-            made[a + b] = made.get(a, 1) + made.get(b, 1)
+        #: Each token that a merge makes: its parts and the merge's rank.
+        self.made = {a + b: (a, b, k) for (a, b), k in self.rank.items()}
+        if len(self.made) < len(self.rank):
+            raise ValueError("a token has two merges")
+        wide: dict[str, int] = {}
+        for token, (a, b, _) in self.made.items():
+            wide[token] = wide.get(a, 1) + wide.get(b, 1)
         #: Symbols that the widest merge spans. Every encoding has a token boundary in any so many neighbouring places, so
         #: a symbol can change no token that ends further back than that.
-        self.lookahead = max(made.values(), default=1)
-        self.tails = {t[i:] for t in vocab for i in range(length(t))}
+        self.lookahead = max(wide.values(), default=1)
+        #: Every end of a token, with the id of the token that it is, else -1.
+        self.tails = dict.fromkeys((t[i:] for t in vocab for i in range(length(t))), -1) | {t: i for t, i in vocab.items() if length(t)}
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
 
@@ -118,22 +127,40 @@ class Merges:
     def symbols(token: str) -> list[str]:
         return [*token[: -len(END) - 1], token[-len(END) - 1 :]] if token.endswith(END) and len(token) > len(END) else [*token]
 
-    def stands(self, a: int) -> bool:
+    def stands(self, b: int) -> bool:
         """Whether the merges make this token of its own symbols."""
-        known = self.alone.get(a)
+        known = self.alone.get(b)
         if known is None:
-            known = self.alone[a] = self.merged(self.symbols(self.tokens[a])) == [self.tokens[a]]
+            known = self.alone[b] = self.merged(self.symbols(self.tokens[b])) == [self.tokens[b]]
         return known
 
+    def apart(self, x: str, y: str) -> bool:
+        """Whether no merge joins anything across the border of two tokens that stand next to each other.
+
+        The merges that made the tokens are undone, the last first; a merge of what then meets at the border would have come
+        before the one just undone if its rank is lower, or equal and further to the left.
+        """
+        rank, made, before = self.rank.get, self.made.get, len(self.rank)
+        base = ("", "", -1)
+        while True:
+            if rank((x, y), before) < before:
+                return False
+            left, right = made(x, base), made(y, base)
+            if left[2] > right[2]:
+                x, before = left[1], left[2]
+            elif right[2] >= 0:
+                y, before = right[0], right[2] + 1
+            else:
+                return True
+
     def fits(self, a: int, b: int) -> bool:
-        """Whether the merges make a, b of the symbols of both."""
+        """Whether the merges make a, b of the symbols of both, where a stands; with -1 for a, whether they make b of its own."""
         key = a << 20 | b
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            first, second = self.tokens[a], self.tokens[b]
-            known = self.pairs[key] = self.merged(self.symbols(first) + self.symbols(second)) == [first, second]
+            known = self.pairs[key] = self.stands(b) and (a < 0 or self.apart(self.tokens[a], self.tokens[b]))
         return known
 
 
@@ -148,23 +175,30 @@ class WordEncoder:
         self.before = -1  # the token emitted last in this word
         self.checked = 0
 
-    def _step(self, end: str) -> None:
-        m, i = self.m, len(self.last)
-        text, tails, vocab = self.text, m.tails, m.vocab
-        n = 1
-        while n <= i:
-            piece = text[i - n : i] + end
-            if piece not in tails:
-                break
-            token = vocab.get(piece)
-            if token is not None:
-                left = self.last[i - n] if i > n else self.before
-                if m.fits(left, token) if left >= 0 else m.stands(token):
-                    self.last.append(token)
-                    self.size.append(n)
-                    return
-            n += 1
-        raise ValueError(f"no token ends at {text[max(0, i - 8):i]!r}: the merge list is not proper")
+    def _extend(self, symbols: str, end: str = "") -> None:
+        """Finds the last token of each prefix that the symbols add; ``end`` marks the last of them as the word's."""
+        m, last, size = self.m, self.last, self.size
+        tail, pair, fits = m.tails.get, m.pairs.get, m.fits
+        at, before = len(last) - 1, self.before
+        text = self.text = self.text + symbols
+        for i in range(at + 1, len(text) + 1):
+            mark = end if i == len(text) else ""
+            for n in range(1, i + 1):
+                token = tail(text[i - n : i] + mark)
+                if token is None:
+                    raise ValueError(f"no token ends at {text[max(0, i - 8):i]!r}: the merge list is not proper")
+                if token < 0:
+                    continue
+                left = last[i - n] if i > n else before
+                known = pair(left << 20 | token)
+                if known is None:
+                    known = fits(left, token)
+                if known:
+                    last.append(token)
+                    size.append(n)
+                    break
+            else:
+                raise ValueError(f"no token ends at {text[max(0, i - 8):i]!r}: the merge list is not proper")
 
     def _back(self, upto: int) -> list[int]:
         out = []
@@ -194,16 +228,13 @@ class WordEncoder:
         wide = 2 * self.m.lookahead
         for at in range(0, len(symbols), wide):
             part = symbols[at : at + wide]
-            self.text += part
-            for _ in part:
-                self._step("")
+            self._extend(part)
             if len(self.last) > 2 * wide:
                 yield from self._settled()
 
     def finish(self, symbol: str) -> list[int]:
         """The word's last symbol."""
-        self.text += symbol
-        self._step(END)
+        self._extend(symbol, END)
         out = self._back(len(self.last) - 1)
         self.text, self.last, self.size, self.before = "", [-1], [0], -1
         return out
@@ -233,6 +264,10 @@ class Encoder:
         yield from self.transducer.feed(raw[:-1])
         yield from self.transducer.finish(raw[-1])
 
+    def forget(self) -> None:
+        """Drops the words that are kept: the merges stay in the worker, the words of a task don't."""
+        self.words, self.older = {}, {}
+
     def _kept(self, word: str) -> bytes:
         made = self.words.get(word) or self.older.get(word) or array("i", self.word(word)).tobytes()
         if len(word) <= 64:
@@ -246,21 +281,28 @@ class Encoder:
         at = 0
         for mark in self.marks.finditer(text) if self.marks and "<" in text else ():
             for part in parts(text[at : mark.start()]):
-                yield from self._plain(part)
+                yield self._plain(part)
             yield np.int32(self.m.special[mark[0]]).tobytes()
             at = mark.end()
         for part in parts(text[at:] if at else text):
-            yield from self._plain(part)
+            yield self._plain(part)
 
-    def _plain(self, text: str) -> list[bytes]:
-        known, kept = self.words.get, self._kept
+    def _plain(self, text: str) -> bytes:
         if text.isascii():
-            return [known(w) or kept(w) for w in _SPLIT_ASCII.findall(text.lower())]
-        # the library lowers character by character: a capital sigma never takes its final form
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        if _CAPITAL_LATER.search(text):
-            text = text.translate(_LOWER_LATER)
-        return [known(w) or kept(w) for w in _SPLIT.findall(text)]
+            words = _SPLIT_ASCII.findall(text.lower())
+        elif _WESTERN.fullmatch(text):
+            words = _SPLIT_WESTERN.findall(text.lower())
+        else:
+            # the library lowers character by character: a capital sigma never takes its final form
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            if _CAPITAL_LATER.search(text):
+                text = text.translate(_LOWER_LATER)
+            words = _SPLIT.findall(text)
+        made = list(map(self.words.get, words))
+        if None in made:
+            known, kept = self.words.get, self._kept
+            made = [known(w) or kept(w) for w in words]
+        return b"".join(made)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self.pieces(text)), np.int32)
@@ -330,6 +372,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids: str = "i
             values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(made))])
             return [pa.ListArray.from_arrays(pa.array(offsets), values)]
 
+        compute.close = encoder.forget
         return compute
 
     return with_text_columns(df, text_col, [T.StructField(ids, T.ArrayType(T.IntegerType()))], factory)
@@ -354,5 +397,6 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded",
                     pieces = [machine.feed(values[a : min(a + PART, high)].tolist()) for a in range(low, high, PART)]
                     texts.append("".join(pieces) + machine.finish())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*kept, out])
+        released_memory()
 
     return df.select(*[df[f"`{c}`"] for c in kept]).mapInArrow(work, schema)

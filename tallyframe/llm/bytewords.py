@@ -8,6 +8,8 @@ polynomial over random byte values modulo 2**64, then a finaliser.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -52,6 +54,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(32))
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library: nothing to call
+        return lambda _: 0
+
+
+def released_memory() -> None:
+    """Gives memory that a finished task has freed back to the system: a Python worker lives on for other tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def sub_batches(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first text, texts as bytes), at most about ``limit`` bytes together; null counts as empty."""
     texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm.arrowmap import with_text_columns
-from tallyframe.llm.bytewords import Words
+from tallyframe.llm.bytewords import Words, released_memory
 from tallyframe.llm.shared import bounded_batches, packed, unpacked
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -145,6 +145,7 @@ def document_frequency(docs: DataFrame, text_col: str, known: np.ndarray, widths
                         n += np.bincount(pairs[1], minlength=len(keys))
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(n[some], pa.int64())], ["k", "n"])
+        released_memory()
 
     out = np.zeros(len(known), np.int64)
     for k, n in docs.select(text_col).mapInArrow(work, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm.anchors import Bytes, anchor_runs
-from tallyframe.llm.bytewords import STEP, U64, mix, sub_batches
+from tallyframe.llm.bytewords import STEP, U64, mix, released_memory, sub_batches
 from tallyframe.llm.shared import bounded_batches, packed, unpacked, written
 
 LENGTH, GRAM, WIDTHS = 100, 24, (16, 4, 1)
@@ -82,6 +82,7 @@ def _first_ranks(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 text, first, count, lead, g, s = anchor_runs(Bytes(texts), length, gram)
                 if len(text):
                     yield _ranked(g, s, ids[at + text], _pack(first, count, lead))
+        released_memory()
 
     return docs.select("uid", "text").mapInArrow(work, _RANKED)
 
@@ -139,6 +140,7 @@ def _round(ranked: DataFrame, name: str) -> DataFrame:
             made = scan(*(batch.column(i).to_numpy() for i in range(4)))
             if made.num_rows:
                 yield made
+        released_memory()
 
     ordered = ranked.repartition("r1").sortWithinPartitions("r1", "r2", "uid", "run")
     return written(ordered.mapInArrow(work, _SCANNED), name)
@@ -158,6 +160,7 @@ def _fetched(left: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 cut = [text[a : a + n] for a, n in zip(first.tolist(), (count - 1 + length).tolist())]
                 ids = pa.array(np.full(len(run), batch.column(0)[i].as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(run), runs.field("r1"), pa.array(cut, pa.binary())], ["uid", "run", "r1", "bytes"])
+        released_memory()
 
     return written(docs.join(grouped, "uid").select("uid", "text", "runs").mapInArrow(work, "uid long, run long, r1 long, bytes binary"), "runs")
 
@@ -191,6 +194,7 @@ def _pieces(runs: DataFrame, length: int, width: int) -> DataFrame:
                 r2 = mix(whole * STEP + (a + 4096).astype(U64))
                 start = whole_first[own] + whole_lead[own] + a
                 yield _ranked(r1, r2, uids[part][own], _pack(start, z - a + 1, start - whole_first[own]))
+        released_memory()
 
     return runs.select("uid", "run", "whole", "r1", "bytes").mapInArrow(work, _RANKED)
 
@@ -299,6 +303,7 @@ def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                     rest.append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])))
                 made = [pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), pa.array(rest, pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)] + made, ["__row", "text", *(f.name for f in FIELDS)])
+        released_memory()
 
     found = joined.mapInArrow(work, T.StructType([joined.schema["__row"], joined.schema["text"]] + FIELDS))
     own_columns = [(F.col("text") if c == text_col else F.col(f"__row.`{c}`")).alias(c) for c in columns]
