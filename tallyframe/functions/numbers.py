@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CURRENCY = "€$£¥₹₵₦₺₴₪"
-AMOUNT_TOKEN = r"^[\s(\-+]*[" + _CURRENCY + r"]?\s*[0-9][0-9.,'\s\x{00a0}\x{202f}]*(?:[%]|[-)])?[\s.,;:]*$"
+#: A number as printed: signs or a bracket, a currency sign, digits with marks and spaces between, then a percent sign, minus or bracket.
+_OPENING, _MARKS, _CLOSING = r"[-+(\s]*\p{Sc}?\s*", r"[\d.,'\s\x{A0}\x{202F}]*", r"[%)-]?[\s.,:;]*"
+AMOUNT_TOKEN = rf"^{_OPENING}\d{_MARKS}{_CLOSING}$"
 #: ISO codes that are looked for, alphabetically.
 CURRENCY_CODES = "AED ARS AUD BDT BGN BRL CAD CHF CLP CNY COP CZK DKK EGP EUR GBP GHS HKD HRK HUF IDR ILS INR JPY KES KRW LKR MAD MXN MYR NGN NOK NPR NZD PEN PHP PKR PLN RON RSD RWF SAR SEK SGD THB TRY TWD TZS UAH UGX USD VND XAF XOF ZAR ZMW".split()
 #: Symbols of more than one character first, in order.
@@ -80,8 +81,7 @@ def rate_key(value: Column) -> Column:
 def detect_currency(text: Column) -> Column:
     """The currency a text states: an ISO code, alphabetically first, else a symbol; empty without one."""
     upper = F.upper(text)
-    codes = F.array(*[F.lit(c) for c in CURRENCY_CODES])
-    code = F.get(F.filter(codes, lambda c: F.regexp_like(upper, F.concat(F.lit("(^|[^A-Z])"), c, F.lit("([^A-Z]|$)")))), 0)
+    code = F.array_min(F.regexp_extract_all(upper, F.lit(f"(?<![A-Z])({'|'.join(CURRENCY_CODES)})(?![A-Z])"), F.lit(1)))
     symbols = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(c).alias("c")) for s, c in CURRENCY_SYMBOLS])
     symbol = F.get(F.filter(symbols, lambda x: F.contains(text, x["s"])), 0)["c"]
     return F.coalesce(code, symbol, F.lit(""))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyframe.functions import vocabulary as v
+
 #: Accented Latin letters and their plain forms; folding by one table keeps a text's length.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćčďđēęěğīłńňōőřśšťūůűźżž"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccddeeegilnnoorsstuuuzzz"
@@ -57,26 +61,63 @@ def email(text: Column) -> Column:
     return F.regexp_extract(text, r"([A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+\.[A-Za-z0-9_.-]+)", 1)
 
 
-#: Words that make a line freight, tax or service.
-FREIGHT_WORDS = ["freight", "shipping", "delivery", "carriage", "transport", "postage", "versand", "fracht", "frete"]
-TAX_WORDS = ["vat", "tax", "mwst", "ust", "iva", "gst", "sst", "levy", "km"]
-SERVICE_WORDS = ["service", "consulting", "hours", "support", "maintenance", "subscription", "training", "installation"]
+_BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+
+
+def alternatives(words: list[str]) -> str:
+    """A pattern of the words, the longest first."""
+    return "|".join(re.sub(r"([^\w ])", r"\\\1", w) for w in sorted(words, key=len, reverse=True))
+
+
+def any_of(folded: Column, phrases: list[str]) -> Column:
+    """Whether a folded text contains one of the phrases."""
+    return folded.rlike(alternatives(phrases))
+
+
+def whole_words(folded: Column, phrases: list[str]) -> Column:
+    """Whether one of the phrases stands in a folded text as whole words."""
+    return folded.rlike(f"{_BEFORE}(?:{alternatives(phrases)}){_AFTER}")
+
+
+def mentions(folded: Column, phrases: list[str], short: int = 4) -> Column:
+    """Whether a folded text contains one of the phrases; those of up to ``short`` characters count only as whole words."""
+    few, more = [w for w in phrases if len(w) <= short], [w for w in phrases if len(w) > short]
+    found = [whole_words(folded, few)] * bool(few) + [any_of(folded, more)] * bool(more)
+    return found[0] | found[1] if len(found) > 1 else found[0] if found else F.lit(False)
+
+
+def label_in(folded: Column, labels: list[str]) -> Column:
+    """The longest of the labels that stands in a folded text as whole words, the first of equals; null without."""
+    # the labels stand inside a lookahead, so that one found doesn't hide another that overlaps it
+    found = F.regexp_extract_all(folded, F.lit(f"{_BEFORE}(?=({alternatives(labels)}){_AFTER})"), F.lit(1))
+    ranked = F.transform(found, lambda x, i: F.struct((-F.length(x)).alias("n"), i.alias("i"), x.alias("label")))
+    return F.array_min(ranked)["label"]
+
+
+def text_after(text: Column, label: Column) -> Column:
+    """What stands after a label in a text, as printed but for squeezed white space; colons and dashes around it are dropped."""
+    plain = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
+    at = F.regexp_instr(fold(plain), F.concat(F.lit(_BEFORE + "\\Q"), label, F.lit("\\E" + _AFTER)))
+    after = F.when(at > 0, F.substr(plain, at + F.length(label))).otherwise(F.lit(""))
+    return F.btrim(F.regexp_replace(F.coalesce(after, F.lit("")), "[:：]", " "), F.lit(" .-–—\t"))
 
 
 def item_type(description: Column) -> Column:
-    """FREIGHT before TAX (short lines only) before SERVICE before GOODS; whole words."""
+    """FREIGHT before TAX (short lines only) before SERVICE before GOODS."""
     folded = fold(description)
-    has = lambda words: folded.rlike(rf"(?<![a-z0-9])({'|'.join(words)})(?![a-z0-9])")
-    return F.when(has(FREIGHT_WORDS), "FREIGHT").when(has(TAX_WORDS) & (F.length(folded) < 30), "TAX").when(has(SERVICE_WORDS), "SERVICE").otherwise("GOODS")
+    return F.when(mentions(folded, v.FREIGHT), "FREIGHT").when(mentions(folded, v.TAX) & (F.length(folded) < 30), "TAX").when(mentions(folded, v.SERVICE), "SERVICE").otherwise("GOODS")
 
 
 def tax_kind(text: Column) -> Column:
     folded = fold(text)
-    has = lambda *words: F.array_contains(F.array(*[F.contains(folded, F.lit(w)) for w in words]), True)
-    return F.when(has("iva"), "IVA").when(has("gst"), "GST").when(has("sst"), "SST").when(has("withholding", "wht", "retention"), "WHT").when(has("levy", "nhil", "getfund"), "LEVY").otherwise("VAT")
+    return F.when(any_of(folded, ["iva"]), "IVA").when(any_of(folded, ["gst"]), "GST").when(any_of(folded, ["sst"]), "SST").when(any_of(folded, v.WITHHOLDING), "WHT").when(any_of(folded, ["levy", "nhil", "getfund"]), "LEVY").otherwise("VAT")
 
 
 def prices_include_tax(text: Column) -> Column:
     """True or false as a text says, null where it says neither."""
     folded = fold(text)
-    return F.when(folded.rlike("(incl|including|inclusive)[a-z.]* (of )?(vat|tax|mwst)"), True).when(folded.rlike("(excl|excluding|exclusive|plus)[a-z.]* (of )?(vat|tax|mwst)"), False)
+    return F.when(any_of(folded, v.TAX_INCLUSIVE), True).when(any_of(folded, v.TAX_EXCLUSIVE), False)
+
+
+def reverse_charge(text: Column) -> Column:
+    return any_of(fold(text), v.REVERSE_CHARGE)

@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 def row_clusters(words: DataFrame, page: str = "page") -> DataFrame:
     """words with row_ix: a new row starts where the middle lies further than max(0.6 of the upper median height, 2) below the last word's.
 
-    A median height of 0 counts as 10. Sorts by page once; pages are the unit of work.
+    A median height of 0 counts as 10. One shuffle by page; pages are the unit of work.
     """
-    w = words.withColumn("mid", (F.col("top") + F.col("bottom")) / 2)
-    heights = w.groupBy(page).agg(F.array_sort(F.collect_list(F.col("bottom") - F.col("top"))).alias("h"))
-    upper = F.get("h", F.floor(F.size("h") / 2).cast("int"))
-    limits = heights.select(page, F.greatest(0.6 * F.when(upper == 0, 10.0).otherwise(upper), F.lit(2.0)).alias("limit"))
-    order = Window.partitionBy(page).orderBy("mid", "x0", "word_ix")
-    starts = F.coalesce((F.col("mid") - F.lag("mid").over(order) > F.col("limit")).cast("int"), F.lit(0))
-    w = w.join(limits, page).withColumn("starts", starts)
-    return w.withColumn("row_ix", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("starts", "limit")
+    same = Window.partitionBy(page)
+    w = words.withColumn("mid", (F.col("top") + F.col("bottom")) / 2).withColumn("height", F.col("bottom") - F.col("top"))
+    middle = F.row_number().over(same.orderBy("height")) == F.floor(F.count("*").over(same) / 2) + 1
+    w = w.withColumn("middle", middle).withColumn("upper", F.max(F.when(F.col("middle"), F.col("height"))).over(same))
+    limit = F.greatest(0.6 * F.when(F.col("upper") == 0, 10.0).otherwise(F.col("upper")), F.lit(2.0))
+    order = same.orderBy("mid", "x0", "word_ix")
+    w = w.withColumn("starts", F.coalesce((F.col("mid") - F.lag("mid").over(order) > limit).cast("int"), F.lit(0)))
+    return w.withColumn("row_ix", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("starts", "upper", "middle", "height")
 
 
 def row_texts(words: DataFrame, page: str = "page") -> DataFrame:
@@ -58,7 +58,7 @@ def anchors(row_words: DataFrame, phrases: list[tuple[str, str]], page: str = "p
     kinds = list(dict.fromkeys(k for k, _ in phrases))
     table = spark.createDataFrame([(k, p, kinds.index(k)) for k, p in phrases], "kind string, phrase string, preference int")
     order = Window.partitionBy(page, "row_ix").orderBy("x0", "word_ix")
-    w = row_words.withColumn("at", F.row_number().over(order)).withColumn("f", fold(F.col("text")))
+    w = row_words.withColumn("at", F.row_number().over(order)).withColumn("f", F.btrim(fold(F.col("text")), F.lit(".:%()")))
     grams = []
     for n in (3, 2, 1):
         parts = [F.col("f"), *[F.lead("f", i).over(order) for i in range(1, n)]]

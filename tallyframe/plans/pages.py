@@ -79,7 +79,7 @@ def labelled_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EVENTS = """e AS (SELECT user_id AS page, event_id AS row_ix, (event_id * 7 + user_id) % 5 AS k, printf('%.2f', value) AS a FROM events),
-t AS (SELECT *, CASE k WHEN 0 THEN 'total due: ' || a WHEN 1 THEN 'amount due' WHEN 2 THEN 'ref ' || row_ix WHEN 3 THEN 'due: ' || a ELSE 'sum ' || a END AS text FROM e),
+t AS (SELECT *, CASE k WHEN 0 THEN 'Total due: ' || a WHEN 1 THEN 'Amount due' WHEN 2 THEN 'ref ' || row_ix WHEN 3 THEN 'Due: ' || a ELSE 'sum ' || a END AS text FROM e),
 n AS (SELECT *, lead(text, 1) OVER o AS t1, lead(k, 1) OVER o AS k1, lead(text, 2) OVER o AS t2, lead(k, 2) OVER o AS k2, lead(a, 1) OVER o AS a1 FROM t WINDOW o AS (PARTITION BY page ORDER BY row_ix))"""
 
 

@@ -114,7 +114,7 @@ def header_tax_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.reconcile(lines(spark, sf_dir), headers(spark, sf_dir))
+    return reconcile.reconcile(lines(spark, sf_dir), _taxed(spark, sf_dir))
 
 
 def hypothesis_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 
-from tallyframe.plans import documents, masterdata, pages, payables, scalars
+from tallyframe.plans import documents, masterdata, pages, payables, printed, scalars
 
 
 def _modules():
-    return [payables, scalars, masterdata, pages, documents]
+    return [payables, scalars, masterdata, pages, documents, printed]
 
 
 def queries():

@@ -4,35 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 WORDS = "file string, page int, word_ix int, text string, x0 double, x1 double, top double, bottom double, source string, error string"
 
 
 def files(spark: SparkSession, folder: str, only: str = "", pattern: str = "*.pdf") -> DataFrame:
-    """(path, name, length, modificationTime, content) of the folder's files, sub-folders too, whose name holds ``only``."""
+    """(path, name, length, modificationTime, content) of the folder's files, sub-folders too, whose name holds ``only``, by path.
+
+    A folder that is missing, or has no such file, is an error.
+    """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
     name = F.substring_index("path", "/", -1)
-    return found.withColumn("name", name).where(F.contains(F.lower("name"), F.lit(only.lower())))
+    found = found.withColumn("name", name).where(F.contains(F.lower("name"), F.lit(only.lower()))).orderBy("path")
+    if found.select("path").isEmpty():
+        raise FileNotFoundError(f"no {pattern} in {folder}" + (f" with {only!r} in its name" if only else ""))
+    return found
 
 
 def words(found: DataFrame, read: Callable[[bytes], list[tuple]]) -> DataFrame:
     """Words of each file by ``read`` (content -> (page, text, x0, x1, top, bottom) rows); a file that fails gives one row with its error."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [c.split()[0] for c in WORDS.split(", ")]
+    schema = to_arrow_schema(T._parse_datatype_string(WORDS))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    rows = [(path, p, i, t, x0, x1, top, bottom, "text", None) for i, (p, t, x0, x1, top, bottom) in enumerate(read(content))]
+                    rows = read(content)
+                    page, text, x0, x1, top, bottom = (list(c) for c in zip(*rows)) if rows else ([],) * 6
+                    columns = [[path] * len(text), page, list(range(len(text))), text, x0, x1, top, bottom, ["text"] * len(text), [None] * len(text)]
                 except Exception as e:  # a corrupt file is a row of the result, not the end of the run
-                    rows = [(path, None, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(rows, columns=columns)
+                    columns = [[path], *[[None]] * 8, [f"{type(e).__name__}: {e}"]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return found.select("path", "content").mapInArrow(work, WORDS)
 
-    return found.select("path", "content").mapInPandas(work, WORDS)
+
+def cached_words(found: DataFrame, read: Callable[[bytes], list[tuple]], cache: str) -> DataFrame:
+    """``words`` of files that the cache holds no words of under their key (path, size, time), written to it, with those that it holds.
+
+    A file that changes has another key, so what the cache holds of it before isn't read any more.
+    """
+    spark = found.sparkSession
+    keyed = found.withColumn("key", cache_key(F.col("path"), F.col("length"), F.col("modificationTime")))
+    schema = f"{WORDS}, key string"
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(cache)
+    exists = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    held = spark.read.schema(schema).parquet(cache) if exists else spark.createDataFrame([], schema)
+    new = keyed.join(held.select("key").distinct(), "key", "left_anti")
+    words(new, read).join(new.select(F.col("path").alias("file"), "key"), "file").select(*held.columns).write.mode("append").parquet(cache)
+    return spark.read.schema(schema).parquet(cache).join(keyed.select("key"), "key", "left_semi").drop("key")
+
+
+def second_pass(first: DataFrame, second: DataFrame, share: float = 0.8) -> DataFrame:
+    """The pages' words of the second pass where it has ``share`` of the first's number of words at least, else of the first."""
+    page = ["file", "page"]
+    n, m = (df.groupBy(*page).agg(F.count("*").alias(c)) for df, c in ((first, "n"), (second, "m")))
+    kept = n.join(m, page, "full").withColumn("use", F.coalesce(F.col("m"), F.lit(0)) >= F.coalesce(F.col("n"), F.lit(0)) * share)
+    take = lambda df, use: df.join(kept.where(use).select(*page), page, "left_semi")
+    return take(first, ~F.col("use")).unionByName(take(second, F.col("use")))
 
 
 def kept_words(ocr: DataFrame, least: float = 30) -> DataFrame:
@@ -94,6 +130,10 @@ def salvaged_json(text: Column, schema: str) -> Column:
 
 
 def write_files(df: DataFrame, path: str, file_col: str = "file") -> None:
-    """One JSON line a file under a folder of its relative path, so that equal names in other folders don't collide."""
+    """One JSON object a file, under ``path`` in a folder of the file's name without its ending; equal names of other folders don't collide.
+
+    The folder's name is the file's path with its ending dropped; the object keeps the whole name.
+    """
+    stem = F.regexp_replace(F.col(file_col), r"\.[^./]*$", "")
     rest = [c for c in df.columns if c != file_col]
-    df.select(F.col(file_col), F.to_json(F.struct(file_col, *rest)).alias("value")).write.partitionBy(file_col).text(path)
+    df.select(stem.alias("__stem"), F.to_json(F.struct(file_col, *rest), {"pretty": "true"}).alias("value")).write.partitionBy("__stem").text(path)

@@ -16,6 +16,8 @@ LINE = "payable long, quantity double, price double, disc_pct double, rate doubl
 def settle(spark, lines, **header):
     names = [c.split()[0] for c in HEADER.split(", ")]
     own = spark.createDataFrame([tuple({"payable": 1, **header}.get(n) for n in names)], HEADER)
+    one = F.array(F.struct(F.col("header_rate").alias("rate"), F.col("header_amount").alias("amount")))
+    own = own.withColumn("taxes", F.when(F.coalesce("header_rate", "header_amount").isNotNull(), one).otherwise(F.slice(one, 1, 0)))
     rows = spark.createDataFrame([(1, *x) for x in lines], LINE)
     return reconcile.reconcile(rows, own).first()
 
@@ -94,7 +96,7 @@ def test_sources(spark, tmp_path):
     assert [r.text for r in readers.kept_words(ocr).collect()] == ["a"]
     assert spark.createDataFrame([('say {"a": 1} ok',), ("none",)], "t string").select(readers.salvaged_json(F.col("t"), "a int")["a"]).collect()[0][0] == 1
     readers.write_files(spark.createDataFrame([("d/x.pdf", 1), ("e/x.pdf", 2)], "file string, n int"), str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).count() == 2
+    assert spark.read.text(str(tmp_path / "out"), wholetext=True).count() == 2
 
 
 def test_report_nests_by_file(spark):
@@ -116,7 +118,7 @@ def test_stream_books_new_payables_once(spark, tmp_path):
 def test_column_anchors_over_whole_texts(spark, sf_dir):
     kinds = list(dict.fromkeys(k for k, _ in pages._HEADS))
     rows, want, headed = {}, {}, set()
-    for r in layout.row_clusters(pages.words(spark, sf_dir)).select("page", "row_ix", "x0", "word_ix", fold(F.col("text")).alias("f")).collect():
+    for r in layout.row_clusters(pages.words(spark, sf_dir)).select("page", "row_ix", "x0", "word_ix", F.btrim(fold(F.col("text")), F.lit(".:%()")).alias("f")).collect():
         rows.setdefault((r.page, r.row_ix), []).append((r.x0, r.word_ix, r.f))
     for (page, row), own in sorted(rows.items()):
         own.sort()
