@@ -57,8 +57,8 @@ _SPLIT = regex.compile(rf"[a-zß-öø-ÿ]+(?!\p{{L}})|{_LETTER}+|'(?:s|t|re|ve|m
 #: Capitals of Unicode 16 and 17 whose small letters Python's own tables lack.
 _LOWER_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 32 for c in range(0x10D50, 0x10D66)} | {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 _CAPITAL_LATER = regex.compile("[" + "".join(map(chr, _LOWER_LATER)) + "]")
-#: Words whose encoding is kept in each of two generations, and pairs whose fit is kept, for one Python worker.
-KEPT_WORDS, KEPT_PAIRS = 100_000, 100_000
+#: Words whose encoding is kept in each of two generations, pairs whose fit is kept, and beginnings of words up to START symbols whose last token is kept, for one Python worker.
+KEPT_WORDS, KEPT_PAIRS, KEPT_STARTS, START = 100_000, 100_000, 200_000, 6
 #: Characters that are normalised and split together, and ids that are decoded together.
 PART = 1 << 16
 
@@ -104,6 +104,8 @@ class Merges:
         self.tails = dict.fromkeys((t[i:] for t in vocab for i in range(length(t))), -1) | {t: i for t, i in vocab.items() if length(t)}
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
+        #: The last token of words' beginnings and its width, for beginnings of up to START symbols.
+        self.starts: dict[str, int] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What the merges make of the symbols: the best-ranked pair first, the leftmost of equals."""
@@ -181,8 +183,15 @@ class WordEncoder:
         tail, pair, fits = m.tails.get, m.pairs.get, m.fits
         at, before = len(last) - 1, self.before
         text = self.text = self.text + symbols
+        # the last token of a word's first symbols is the same in every word that begins with them
+        known_starts, starts = m.starts.get, m.starts
         for i in range(at + 1, len(text) + 1):
             mark = end if i == len(text) else ""
+            start = text[:i] if before < 0 and i <= START and not mark else ""
+            if start and (held := known_starts(start)):
+                last.append(held >> 6)
+                size.append(held & 63)
+                continue
             for n in range(1, i + 1):
                 token = tail(text[i - n : i] + mark)
                 if token is None:
@@ -196,6 +205,8 @@ class WordEncoder:
                 if known:
                     last.append(token)
                     size.append(n)
+                    if start and n < 64 and len(starts) < KEPT_STARTS:
+                        starts[start] = token << 6 | n
                     break
             else:
                 raise ValueError(f"no token ends at {text[max(0, i - 8):i]!r}: the merge list is not proper")
