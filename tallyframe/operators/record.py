@@ -92,6 +92,6 @@ def payables(headers: DataFrame, lines: DataFrame, key: str = "payable") -> Data
         F.coalesce("currency", F.lit("")).alias("currency"),
         money_text(F.abs("gross")).alias("gross_amount"),
         money_text(F.abs("subtotal")).alias("subtotal"),
-        F.transform(F.coalesce("items", F.array()), line_record).alias("line_items"),
+        F.transform(F.coalesce("items", F.array()), lambda x: line_record(x)).alias("line_items"),
     )
     return headers.join(listed, key, "left").select(key, record.alias("record"))
