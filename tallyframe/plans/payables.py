@@ -123,16 +123,16 @@ def hypothesis_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LICENCE_RULES = [
-    "(header_rate IS NOT NULL OR header_amount IS NOT NULL) AND coalesce(any_rate, false)",
+    "(header_rate IS NOT NULL OR header_amount IS NOT NULL) AND coalesce(line_taxed, false)",
     "coalesce(printed_rounding, 0) <> 0",
     "(coalesce(any_rate, false) OR coalesce(header_rate, 0) > 0) AND (says_inclusive OR coalesce(extensions = stated, false))",
-    "(header_rate IS NOT NULL OR header_amount IS NOT NULL) AND coalesce(any_rate, false) AND rates = 1",
+    "(header_rate IS NOT NULL OR header_amount IS NOT NULL) AND coalesce(line_taxed, false) AND rates = 1",
     "coalesce(printed_prepayment, 0) <> 0",
     "coalesce(discount, 0) <> 0",
-    "coalesce(tax_lines, false) AND (coalesce(any_rate, false) OR header_rate IS NOT NULL OR header_amount IS NOT NULL)",
+    "coalesce(tax_lines, false) AND (coalesce(line_taxed, false) OR header_rate IS NOT NULL OR header_amount IS NOT NULL)",
     "coalesce(header_amount, 0) > 0 AND coalesce(stated < abs(printed_subtotal), false)",
 ]
-_LICENSED_SQL = f"""facts AS (SELECT payable, max(coalesce(rate, 0)) > 0 AS any_rate, count(DISTINCT rate) AS rates, CAST(sum(CAST(total AS {_M})) AS {_M}) AS extensions, bool_or(item_type = 'TAX') AS tax_lines FROM lines GROUP BY payable),
+_LICENSED_SQL = f"""facts AS (SELECT payable, max(coalesce(rate, 0)) > 0 AS any_rate, bool_or(rate IS NOT NULL) AS line_taxed, count(DISTINCT rate) AS rates, CAST(sum(CAST(total AS {_M})) AS {_M}) AS extensions, bool_or(item_type = 'TAX') AS tax_lines FROM lines GROUP BY payable),
 lic AS (SELECT headers.*, {' + '.join(f'CASE WHEN {r} THEN {1 << k} ELSE 0 END' for k, r in enumerate(_LICENCE_RULES))} AS licensed FROM headers LEFT JOIN facts USING (payable))"""
 _LICENCES = f"""WITH {HEADERS_SQL}, {_LICENSED_SQL}
 SELECT CAST(bit AS INTEGER) AS bit, count(*) AS payables FROM lic, range(8) r(bit) WHERE (licensed >> CAST(bit AS INTEGER)) & 1 = 1 GROUP BY 1"""
