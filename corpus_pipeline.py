@@ -27,25 +27,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without bytes that a 100-byte string covers which also starts earlier; n_chars follows the text.
-
-    In documents that benchmark windows cover to a twentieth, these windows stay, with the byte on either side: they are
-    what the next stage knows such documents by, and it drops them whole.
-    """
-    benchmark = table(spark, sf_dir, "benchmark")
-
-    def spare(rows: DataFrame) -> DataFrame:
-        found = decontaminate.judged(rows, benchmark)
-        around = F.transform("spans", lambda s: F.struct((s["begin"] - 1).alias("start"), (s["end"] + 1).alias("stop")))
-        return found.select(*rows.columns, F.when(F.col("contaminated"), around).alias("spared"))
-
-    found = suffixdedup.dedup(docs, spare=spare)
+    """All documents, without bytes that a 100-byte string covers which also starts earlier; n_chars follows the text."""
+    found = suffixdedup.dedup(docs)
     return found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that windows of benchmark items don't cover to a twentieth."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that windows of benchmark items don't cover to a twentieth, neither as they are nor as they came in.
+
+    The stage before may have cut the windows that a document is known by, so the documents of ``sf_dir`` are judged too.
+    """
+    benchmark, before = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
+    named = [c for c in ("doc_id", "lang", "source") if c in before.columns and c in docs.columns]
+    return decontaminate.clean_before(decontaminate.decontaminate(docs, benchmark), before, benchmark, named)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | None = None) -> DataFrame:
