@@ -133,7 +133,9 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     key, none, repeats = _key(own, "id")
     own = own.select(key.alias("k"), "text")
-    sizes = written(own.groupBy("k").agg(F.max(F.char_length("text")).alias("chars")), "sizes")
+    sizes = own.select("k", F.char_length("text").alias("chars"))
+    # ids that don't repeat need no shuffle, and so no file of a few rows for each of its partitions
+    sizes = written(sizes.groupBy("k").agg(F.max("chars").alias("chars")) if repeats else sizes, "sizes")
     # both joins read the same columns of this, so that Spark makes and shuffles it once
     texts = own.withColumn("signs", signatures(F.col("text"), chain))
     follow = followers(sizes)

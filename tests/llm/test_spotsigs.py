@@ -69,6 +69,29 @@ def test_repeated_and_null_ids(spark):
     assert spotsigs.fingerprints(df.limit(0)).collect() == []
 
 
+def test_sizes_are_shuffled_for_repeated_ids_alone(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(spotsigs, "written", lambda df, name: seen.append(df) or df)
+    rows = [(None, "the x y"), (4, None), (1, "of p q r s"), (-2, "and z")]
+    for more, shuffled in (([], False), ([(1, "of b"), (4, "the x")], True), ([(None, "of long words")], True)):
+        given = rows + more
+        got = spotsigs.fingerprints(spark.createDataFrame(given, "doc_id long, text string")).collect()
+        assert ("Exchange" in seen[-1]._jdf.queryExecution().toString()) == shuffled
+        sizes = {}
+        for k, text in given:
+            sizes[-3 if k is None else k] = max(sizes.get(-3 if k is None else k, 0), len(text or ""))
+        assert sorted(map(tuple, seen[-1].collect())) == sorted(sizes.items())
+        order, least = sorted(sizes), {}
+        for k, text in given:
+            k = -3 if k is None else k
+            least[k] = min(least.get(k, text or ""), text or "")
+        want = []
+        for k, text in given:
+            text, after = text or "", least[order[(order.index(-3 if k is None else k) + 1) % len(order)]]
+            want.append((-3 if k is None else k, text, text[: len(text) - len(text) // 2] + after[: len(text) // 2]))
+        assert sorted((-3 if r.id is None else r.id, r.text, r.edited) for r in got) == sorted(want)
+
+
 def test_near_pairs(spark):
     base = " ".join(f"the w{i} v{i}" for i in range(60))
     rows = [(1, base), (2, base), (3, base.replace("w5 ", "zz ")), (4, " ".join(f"of a{i} b{i}" for i in range(60))), (5, None)]
