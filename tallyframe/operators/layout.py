@@ -54,18 +54,21 @@ def anchors(row_words: DataFrame, phrases: list[tuple[str, str]], page: str = "p
     """
     from tallyframe.functions.text import fold
 
-    spark = row_words.sparkSession
     kinds = list(dict.fromkeys(k for k, _ in phrases))
-    table = spark.createDataFrame([(k, p, kinds.index(k)) for k, p in phrases], "kind string, phrase string, preference int")
+    by: dict[str, list[str]] = {}
+    for k, p in phrases:
+        by.setdefault(p, []).append(k)
+    known = F.create_map(*[x for p, ks in by.items() for x in (F.lit(p), F.array(*[F.struct(F.lit(kinds.index(k)).alias("preference"), F.lit(k).alias("kind")) for k in ks]))])
     order = Window.partitionBy(page, "row_ix").orderBy("x0", "word_ix")
     w = row_words.withColumn("at", F.row_number().over(order)).withColumn("f", F.btrim(fold(F.col("text")), F.lit(".:%()")))
-    grams = []
+    # the three lengths are looked up on the row of their first word, so the words are placed and sorted once
+    w = w.select(page, "row_ix", "at", "x0", F.col("f").alias("f0"), F.col("x1").alias("e0"), *[F.lead(c, i).over(order).alias(f"{n}{i}") for i in (1, 2) for c, n in (("f", "f"), ("x1", "e"))])
     for n in (3, 2, 1):
-        parts = [F.col("f"), *[F.lead("f", i).over(order) for i in range(1, n)]]
-        end = F.col("x1") if n == 1 else F.lead("x1", n - 1).over(order)
-        grams.append(w.select(page, "row_ix", F.lit(n).alias("n"), "at", F.concat(*[x for p in parts for x in (p, F.lit(" "))]).alias("gram"), "x0", end.alias("end")))
-    hits = grams[0].unionByName(grams[1]).unionByName(grams[2]).where("gram IS NOT NULL").withColumn("phrase", F.trim("gram")).join(F.broadcast(table), "phrase")
-    listed = hits.groupBy(page, "row_ix").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "at", "preference", "n", "kind", "x0", "end"))).alias("h"))
+        gram = F.trim(F.concat(*[x for i in range(n) for x in (F.col(f"f{i}"), F.lit(" "))]))
+        w = w.withColumn(f"k{n}", F.try_element_at(known, gram))
+    grams = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"e{n - 1}").alias("end"), F.col(f"k{n}").alias("kinds")) for n in (3, 2, 1)])
+    hits = w.where(F.coalesce("k3", "k2", "k1").isNotNull()).select(page, "row_ix", "at", "x0", F.explode(grams).alias("g")).select(page, "row_ix", "at", "x0", "g.n", "g.end", F.explode("g.kinds").alias("k"))
+    listed = hits.groupBy(page, "row_ix").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "at", "k.preference", "n", "k.kind", "x0", "end"))).alias("h"))
     empty = F.slice("h", F.lit(1), F.lit(0))
     free = lambda taken, x: ~F.exists(taken, lambda t: (t["kind"] == x["kind"]) | ((x["at"] < t["at"] + t["n"]) & (t["at"] < x["at"] + x["n"])))
     chosen = F.aggregate("h", empty, lambda taken, x: F.when(free(taken, x), F.concat(taken, F.array(x))).otherwise(taken))

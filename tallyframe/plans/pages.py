@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import labels, layout, segment
 from tallyframe.plans.derived import table
+from tallyframe.sources.staging import staged
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ _HEADS = [("description", "the"), ("description", "of the"), ("quantity", "and")
 
 def column_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of whole texts in which column headings stand; ``header`` marks the row that heads a page's table."""
-    found = layout.anchors(layout.row_clusters(words(spark, sf_dir)), _HEADS)
+    found = staged(layout.anchors(layout.row_clusters(words(spark, sf_dir)), _HEADS), "anchors")
     rows = found.groupBy("page", "row_ix").agg(F.array_join(F.array_sort(F.collect_list("kind")), ",").alias("kinds"), F.min("x0").alias("x0"))
     heads = layout.table_header(found).withColumnRenamed("row_ix", "head")
     return rows.join(heads, "page", "left").select("page", "row_ix", "kinds", "x0", F.coalesce(F.col("row_ix") == F.col("head"), F.lit(False)).alias("header"))
