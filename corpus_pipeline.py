@@ -46,8 +46,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | None =
     """Each document's token ids, and the text that they decode to."""
     path = path or tokenizer_path()
     kept = docs.select("doc_id", "lang", "source", "text")
-    coded = bpe.encode_texts(kept, path).select("doc_id", "lang", "source", "ids")
-    return bpe.decode_ids(coded, path, surface=False).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+    return bpe.round_trip(kept, path, surface=False).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [

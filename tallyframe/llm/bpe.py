@@ -370,6 +370,24 @@ def load(path: str) -> Encoder:
     return Encoder(Merges(model["vocab"], merges, {t["content"]: t["id"] for t in made["added_tokens"]}))
 
 
+def _coded(encoder: Encoder, texts: list[bytes]) -> pa.ListArray:
+    made = [b"".join(encoder.pieces(t.decode("utf-8", "replace"))) for t in texts]
+    offsets = np.zeros(len(made) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in made], out=offsets[1:])
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(made))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def _decoded(machine: SurfaceDecoder | TextDecoder, ids: pa.Array) -> pa.Array:
+    values = ids.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy()).tolist()
+    texts = []
+    for low, high in zip([0, *ends], ends):
+        pieces = [machine.feed(values[a : min(a + PART, high)].tolist()) for a in range(low, high, PART)]
+        texts.append("".join(pieces) + machine.finish())
+    return pa.array(texts, pa.string())
+
+
 def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids: str = "ids", load_encoder: Callable[[str], Encoder] = load) -> DataFrame:
     """df with ``ids``: array<int>, the text's tokens. ``path`` is the tokenizer file's place on every executor."""
 
@@ -377,11 +395,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids: str = "i
         encoder = load_encoder(path)
 
         def compute(texts):
-            made = [b"".join(encoder.pieces(t.decode("utf-8", "replace"))) for t in texts]
-            offsets = np.zeros(len(made) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in made], out=offsets[1:])
-            values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(made))])
-            return [pa.ListArray.from_arrays(pa.array(offsets), values)]
+            return [_coded(encoder, texts)]
 
         compute.close = encoder.forget
         return compute
@@ -389,6 +403,23 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids: str = "i
     return with_text_columns(df, text_col, [T.StructField(ids, T.ArrayType(T.IntegerType()))], factory)
 
 
+def round_trip(df: DataFrame, path: str, text_col: str = "text", ids: str = "ids", out: str = "decoded", surface: bool = True, load_encoder: Callable[[str], Encoder] = load) -> DataFrame:
+    """df with what ``encode_texts`` and then ``decode_ids`` add. A task has one Python worker for both, not two that each hold the merges and a batch."""
+
+    def factory():
+        encoder = load_encoder(path)
+        machine = (SurfaceDecoder if surface else TextDecoder)(encoder.m)
+
+        def compute(texts):
+            coded = _coded(encoder, texts)
+            return [coded, _decoded(machine, coded)]
+
+        compute.close = encoder.forget
+        return compute
+
+    return with_text_columns(df, text_col, [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.StringType())], factory)
+
+
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", surface: bool = True) -> DataFrame:
     """df with ``out``: the ids' text, by SurfaceDecoder (as the library) or TextDecoder. Null ids give an empty text."""
     kept = [c for c in df.columns if c != out]
@@ -401,13 +432,7 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded",
             machine = machine or (SurfaceDecoder if surface else TextDecoder)(load(path).m)
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                values = part.column(at).flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(part.column(at)), 0).to_numpy()).tolist()
-                texts = []
-                for low, high in zip([0, *ends], ends):
-                    pieces = [machine.feed(values[a : min(a + PART, high)].tolist()) for a in range(low, high, PART)]
-                    texts.append("".join(pieces) + machine.finish())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*kept, out])
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(machine, part.column(at))], [*kept, out])
         released_memory()
 
     return df.select(*[df[f"`{c}`"] for c in kept]).mapInArrow(work, schema)
