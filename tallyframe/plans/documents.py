@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators import parse, record
+from tallyframe.operators import document, parse, record
 from tallyframe.plans.derived import LINES_SQL, lines, table
 
 
@@ -56,8 +56,7 @@ def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("Nordwind "), F.col("k").cast("string"), F.lit(" GmbH"))
     rows = F.array(F.lit("INVOICE"), F.when(F.col("k") % 3 == 0, F.lit("Plain words here")).otherwise(name), F.lit("Street 5"), F.lit("Berlin, DE"), F.lit("Bill to:"), F.concat(F.lit("Buyer "), F.col("k").cast("string")), F.lit(""), F.lit("Road 9"), F.lit("Riga"))
     pages = own.select(F.col("k").alias("page"), F.posexplode(rows).alias("row_ix", "text"))
-    s, b = parse.supplier_block(pages), parse.bill_to(pages)
-    return s.join(b.select("page", F.col("name").alias("buyer"), F.col("address").alias("buyer_address")), "page", "full")
+    return document.parties(pages)
 
 
 _POSITIONS = [("Page 2 of 5", 2, 5), ("Seite 1 / 3", 1, 3), ("page total 4/9", 4, 9), ("see 4/9", None, None), ("page 9/4", 9, 4), ("página 3 de 7", 3, 7)]
