@@ -34,9 +34,8 @@ def row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_bounds_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words at 0, 3 and 7 of a page's first row head columns; the rest of the page falls into their bounds."""
-    placed = layout.row_clusters(words(spark, sf_dir))
-    heads = placed.where("row_ix = 0 AND x0 IN (0.0, 90.0, 210.0)").select("page", F.concat(F.lit("c"), (F.col("x0") / 30).cast("int").cast("string")).alias("kind"), "x0", "x1")
-    found = layout.cells(placed.where("row_ix > 0"), layout.column_bounds(heads))
+    head = F.when(F.col("x0").isin(0.0, 90.0, 210.0), F.concat(F.lit("c"), (F.col("x0") / 30).cast("int").cast("string")))
+    found = layout.headed_cells(words(spark, sf_dir).withColumn("head", head))
     return found.groupBy("page", "kind").agg(F.count("*").alias("cells"), F.sum(F.length("text")).alias("letters"))
 
 
